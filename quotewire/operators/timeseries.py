@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,7 +23,9 @@ VOLATILITY_ROWS = 5
 MIN_DAYS = 5
 STRONG_SENTIMENT = 0.3
 
-BY_DAY = W.partitionBy("stock_symbol").orderBy("date")
+
+def _by_day() -> WindowSpec:
+    return W.partitionBy("stock_symbol").orderBy("date")
 
 
 def daily_symbol(pairs: DataFrame, order: Sequence[str] = PAIR_ORDER) -> DataFrame:
@@ -44,7 +46,7 @@ def daily_symbol(pairs: DataFrame, order: Sequence[str] = PAIR_ORDER) -> DataFra
 
 def sentiment_lags(daily: DataFrame, lags: Sequence[int] = SENTIMENT_LAGS) -> DataFrame:
     return daily.withColumns(
-        {f"sentiment_lag_{k}": F.lag("sentiment_score", k).over(BY_DAY) for k in lags}
+        {f"sentiment_lag_{k}": F.lag("sentiment_score", k).over(_by_day()) for k in lags}
     )
 
 
@@ -52,14 +54,14 @@ def price_changes(daily: DataFrame, steps: Sequence[int] = PRICE_STEPS) -> DataF
     """Relative change over k rows; NULL after a zero price."""
 
     def change(k: int) -> Column:
-        return F.try_divide("current_price", F.lag("current_price", k).over(BY_DAY)) - 1
+        return F.try_divide("current_price", F.lag("current_price", k).over(_by_day())) - 1
 
     return daily.withColumns({f"price_change_{k}d": change(k) for k in steps})
 
 
 def rolling_volatility(daily: DataFrame, rows: int = VOLATILITY_ROWS) -> DataFrame:
     """Sample deviation of the last daily changes; NULL for a single value."""
-    recent = BY_DAY.rowsBetween(1 - rows, 0)
+    recent = _by_day().rowsBetween(1 - rows, 0)
     return daily.withColumn(
         f"volatility_{rows}d", F.stddev_samp("price_change_1d").over(recent)
     )

@@ -34,12 +34,15 @@ def query(name: str, sql: str | None = None):
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Columns both engines print alike: doubles to 6 places, times and lists as text."""
+    """Columns both engines print alike: doubles to 6 places, times and lists as text.
+
+    Doubles are scaled before they are rounded, which is exact arithmetic in any engine.
+    """
 
     def column(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6) + F.lit(0.0)  # no negative zero
+            c = F.round(c * 1e6) / 1e6 + F.lit(0.0)  # no negative zero
         elif isinstance(f.dataType, T.IntegerType):
             c = c.cast("long")
         elif isinstance(f.dataType, T.DateType):
@@ -55,7 +58,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def rounded(body: str, *doubles: str) -> str:
     """SQL with the named columns rounded the way :func:`plain` does."""
-    places = ", ".join(f'round("{c}", 6) + 0.0 AS "{c}"' for c in doubles)
+    places = ", ".join(f'round("{c}" * 1e6) / 1e6 + 0.0 AS "{c}"' for c in doubles)
     return f"SELECT * REPLACE ({places}) FROM ({body.strip()})"
 
 

@@ -26,6 +26,8 @@ POSITIVE = ("able", "ing ", "ouea", "stion", "erea", "ich ")
 NEGATIVE = ("nter", "ent", "worth", "heed", "eaux", "und ")
 
 EPOCH_2024 = 1704067200
+SCORE_STEP = 5 / 32
+SCORE_SQL = f"round((l_discount - 0.05) * 100) * {SCORE_STEP}"
 
 
 def _cases(number: Column, texts: list[Column | None]) -> Column:
@@ -86,11 +88,15 @@ class Inputs:
         )
 
     def pairs(self, by: str = "P") -> DataFrame:
-        """Pairs keyed by part (P) or, for long daily series, by supplier (S)."""
+        """Pairs keyed by part (P) or, for long daily series, by supplier (S).
+
+        Scores and changes are binary fractions, so their sums do not depend on the order
+        of the rows, and a mean that is exactly at a threshold is so in every engine.
+        """
         key = F.col("l_partkey") if by == "P" else F.col("l_suppkey")
         day = F.date_format("l_shipdate", "yyyy-MM-dd")
         symbol = F.concat(F.lit(by), key)
-        score = (F.col("l_discount") - 0.05) * 16
+        score = F.round((F.col("l_discount") - 0.05) * 100) * SCORE_STEP
         return self.table("lineitem").select(
             F.concat_ws(
                 "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day
@@ -98,7 +104,7 @@ class Inputs:
             symbol.alias("stock_symbol"),
             F.concat(F.lit("Stock "), symbol).alias("stock_name"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("current_price"),
-            ((F.col("l_tax") - 0.04) * 100).alias("daily_change_percent"),
+            F.round((F.col("l_tax") - 0.04) * 100).alias("daily_change_percent"),
             F.concat(F.col("l_linenumber").cast("string"), F.lit("B")).alias("market_cap"),
             F.col("l_quantity").cast("long").cast("string").alias("volume"),
             F.concat(F.lit("Order "), "l_returnflag", "l_linestatus", F.lit(" shipped on "), day)
@@ -220,14 +226,12 @@ def _pairs_sql(by: str, key: str) -> str:
         SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, day) AS news_id,
             '{by}' || {key} AS stock_symbol, 'Stock {by}' || {key} AS stock_name,
             l_extendedprice / l_quantity AS current_price,
-            (l_tax - 0.04) * 100 AS daily_change_percent,
+            round((l_tax - 0.04) * 100) AS daily_change_percent,
             l_linenumber || 'B' AS market_cap,
             CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS volume,
             'Order ' || l_returnflag || l_linestatus || ' shipped on ' || day AS news_headline,
-            CASE WHEN (l_discount - 0.05) * 16 >= 0.05 THEN 'positive'
-                 WHEN (l_discount - 0.05) * 16 <= -0.05 THEN 'negative'
-                 ELSE 'neutral' END AS news_sentiment,
-            (l_discount - 0.05) * 16 AS sentiment_score,
+            CASE WHEN {SCORE_SQL} >= 0.05 THEN 'positive' WHEN {SCORE_SQL} <= -0.05 THEN 'negative'
+                 ELSE 'neutral' END AS news_sentiment, {SCORE_SQL} AS sentiment_score,
             day || 'T00:00:00+00:00' AS published_at
         FROM (SELECT *, strftime(l_shipdate, '%Y-%m-%d') AS day FROM lineitem)"""
 
@@ -327,7 +331,7 @@ SQL_VIEWS: dict[str, str] = {
         FROM pairs JOIN (
             SELECT stock_symbol, news_sentiment, row_number() OVER (
                 PARTITION BY stock_symbol ORDER BY count(*) DESC, news_sentiment) AS place
-            FROM pairs GROUP BY ALL) USING (stock_symbol, news_sentiment)
+            FROM pairs GROUP BY stock_symbol, news_sentiment) USING (stock_symbol, news_sentiment)
         GROUP BY stock_symbol""",
     "daily": """
         SELECT stock_symbol, substr(published_at, 1, 10) AS date,

@@ -1,6 +1,6 @@
 """All queries, registered by importing the modules that define them."""
 
-from quotewire.plans import scalar_queries  # noqa: F401
+from quotewire.plans import scalar_queries, table_queries  # noqa: F401
 from quotewire.plans.catalog import QUERIES, run
 
 __all__ = ["QUERIES", "run"]

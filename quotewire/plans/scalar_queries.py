@@ -66,8 +66,11 @@ def units_sql(column: str) -> str:
 @query(
     "parse_units",
     sql(
-        f"""SELECT symbol, coalesce({units_sql("volume")}, 0.0) AS volume,
-            coalesce({units_sql("market_cap")}, 0.0) AS market_cap FROM part_quotes""",
+        rounded(
+            f"""SELECT symbol, coalesce({units_sql("volume")}, 0.0) AS volume,
+                coalesce({units_sql("market_cap")}, 0.0) AS market_cap FROM part_quotes""",
+            "volume", "market_cap",
+        ),
         "part_quotes",
     ),
 )
@@ -91,8 +94,11 @@ def volume_sql(column: str) -> str:
 @query(
     "parse_volume",
     sql(
-        f"SELECT symbol, {volume_sql('volume')} AS volume_num, "
-        f"{volume_sql('market_cap')} AS cap_num FROM part_quotes",
+        rounded(
+            f"SELECT symbol, {volume_sql('volume')} AS volume_num, "
+            f"{volume_sql('market_cap')} AS cap_num FROM part_quotes",
+            "volume_num", "cap_num",
+        ),
         "part_quotes",
     ),
 )

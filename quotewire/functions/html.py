@@ -4,15 +4,17 @@ The parser is the only Python here: it lists the nodes of a page in document
 order. Finding rows, cells and links is then done with array functions.
 """
 
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.functions.text import clean_text
+from quotewire.functions.text import squeeze
 
 TEXT = "#text"
+Test = Callable[[Column], Column]
 
 # tag, attributes, text (text nodes only), position, position of the last descendant
 NODES = T.ArrayType(
@@ -95,17 +97,41 @@ def has_attr(node: Column, name: str, value: str | None = None) -> Column:
     return found.isNotNull() if value is None else F.coalesce(found == value, F.lit(False))
 
 
-def inside(nodes: Column, node: Column) -> Column:
-    """Descendants of ``node`` within ``nodes`` (NULL for a NULL node)."""
-    return F.filter(nodes, lambda n: (n["pos"] > node["pos"]) & (n["pos"] <= node["last"]))
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used.
 
+    Needed around lambdas: what a lambda refers to is worked out for every element.
+    """
+    return F.transform(F.array(value), use)[0]
 
-def first(nodes: Column, test) -> Column:
+
+def first(nodes: Column, test: Test) -> Column:
     """First node that passes ``test``, or NULL."""
     return F.try_element_at(F.filter(nodes, test), F.lit(1))
 
 
+def subtree(nodes: Column, node: Column) -> Column:
+    """Descendants of ``node`` within ``nodes``, itself a whole page or a subtree.
+
+    Both arguments must be columns or lambda variables, see :func:`let`.
+    """
+    start = F.try_element_at(nodes, F.lit(1))["pos"]
+    return F.slice(nodes, node["pos"] - start + 2, node["last"] - node["pos"])
+
+
+def descend(nodes: Column, test: Test) -> Column:
+    """Descendants of the first node that passes ``test``, or NULL."""
+    return let(nodes, lambda ns: let(first(ns, test), lambda node: subtree(ns, node)))
+
+
+def each(nodes: Column, test: Test, use: Callable[[Column], Column]) -> Column:
+    """``use(descendants)`` for every node that passes ``test``."""
+    return let(
+        nodes, lambda ns: F.transform(F.filter(ns, test), lambda node: use(subtree(ns, node)))
+    )
+
+
 def text_of(nodes: Column) -> Column:
     """Clean text of a list of nodes; NULL stays NULL."""
     texts = F.transform(F.filter(nodes, lambda n: n["tag"] == TEXT), lambda n: n["text"])
-    return F.when(nodes.isNotNull(), clean_text(F.array_join(texts, "")))
+    return squeeze(F.array_join(texts, ""))

@@ -8,9 +8,14 @@ SPACE = r"\p{Z}\t\n\x0B\f\r\x1C-\x1F\x85"
 WORD = r"\p{L}\p{N}_"
 
 
+def squeeze(text: Column) -> Column:
+    """Runs of white space become one space, ends are stripped."""
+    return F.trim(F.regexp_replace(text, f"[{SPACE}]+", " "))
+
+
 def clean_text(text: Column) -> Column:
-    """Runs of white space become one space, ends are stripped, NULL becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SPACE}]+", " "))
+    """:func:`squeeze`, with '' for NULL."""
+    return squeeze(F.coalesce(text, F.lit("")))
 
 
 def strip(text: Column) -> Column:

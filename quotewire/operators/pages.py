@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from quotewire.functions.dates import date_bucket, now_utc, parse_publish_date
 from quotewire.functions.html import (
+    descend,
+    each,
     first,
     has_attr,
     has_class,
     html_nodes,
-    inside,
+    let,
     text_of,
 )
 from quotewire.functions.numbers import safe_float
 from quotewire.functions.symbols import base_symbol
 from quotewire.functions.text import clean_text, strip, symbol_char_count, token_count, url_count
+from quotewire.operators.keyed import lookup_join, pick_last
 
 # Markers in the pages and the texts that stand for "no value".
 QUOTE_ROW = ("data-testid", "data-table-v2-row")
@@ -58,17 +61,6 @@ def _is(tag: str, attr: str | None = None, value: str | None = None):
     return lambda n: (n["tag"] == tag) & has_attr(n, attr, value)
 
 
-def _subtrees(nodes: Column, test) -> Column:
-    """(node, its descendants) for every node that passes ``test``."""
-    return F.transform(
-        F.filter(nodes, test),
-        lambda r: F.struct(
-            r["pos"].alias("pos"),
-            F.slice(nodes, r["pos"] + 2, r["last"] - r["pos"]).alias("nodes"),
-        ),
-    )
-
-
 # --- quote tables ---------------------------------------------------------------------
 
 
@@ -78,33 +70,32 @@ def extract_quote_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     Rows carry the marker attribute; a page without any falls back to rows whose
     class contains 'row'.
     """
-    parsed = pages.withColumn("_nodes", html_nodes(F.col(html))).drop(html)
-    marked = _subtrees(F.col("_nodes"), _is("tr", *QUOTE_ROW))
-    by_class = _subtrees(F.col("_nodes"), lambda n: (n["tag"] == "tr") & has_class(n, "row"))
     cells = F.size(F.filter("nodes", lambda n: n["tag"].isin("td", "th")))
+    whole = lambda row: F.struct(row.alias("nodes"))
+    marked = each(F.col("_nodes"), _is("tr", *QUOTE_ROW), whole)
+    by_class = each(F.col("_nodes"), lambda n: (n["tag"] == "tr") & has_class(n, "row"), whole)
+    keys = [c for c in pages.columns if c != html]
     return (
-        parsed.withColumn("_marked", marked)
-        .withColumn("_rows", F.when(F.size("_marked") > 0, F.col("_marked")).otherwise(by_class))
-        .select(*[c for c in pages.columns if c != html], F.posexplode("_rows").alias("row_no", "_row"))
-        .withColumn("nodes", F.col("_row.nodes"))
-        .drop("_row")
+        pages.select(*keys, html_nodes(F.col(html)).alias("_nodes"))
+        .withColumn("_rows", let(marked, lambda m: F.when(F.size(m) > 0, m).otherwise(by_class)))
+        .select(*keys, F.posexplode("_rows").alias("row_no", "_row"))
+        .select(*keys, "row_no", "_row.nodes")
         .where(cells >= 5)
     )
 
 
-def _stream_text(nodes: Column, field: str) -> Column:
-    return text_of(inside(nodes, first(nodes, _is("fin-streamer", "data-field", field))))
+def _streamer(nodes: Column, field: str) -> Column:
+    return descend(nodes, _is("fin-streamer", "data-field", field))
 
 
-def _signed_text(nodes: Column, field: str, fallback: bool) -> Column:
-    """Text of the coloured span in a streamer, or of the streamer itself."""
-    streamer = inside(nodes, first(nodes, _is("fin-streamer", "data-field", field)))
-    span = first(
-        streamer,
-        lambda n: (n["tag"] == "span") & (has_class(n, "txt-positive") | has_class(n, "txt-negative")),
-    )
-    in_span = text_of(inside(streamer, span))
-    return F.coalesce(in_span, text_of(streamer)) if fallback else in_span
+def _coloured(nodes: Column) -> Column:
+    """Text of the first span coloured as a rise or fall, or NULL."""
+    return text_of(descend(nodes, lambda n: (n["tag"] == "span")
+                           & (has_class(n, "txt-positive") | has_class(n, "txt-negative"))))
+
+
+def _coloured_or_plain(nodes: Column) -> Column:
+    return let(nodes, lambda ns: F.coalesce(_coloured(ns), text_of(ns)))
 
 
 def _or_missing(text: Column) -> Column:
@@ -114,31 +105,28 @@ def _or_missing(text: Column) -> Column:
 def parse_quote_row(rows: DataFrame, site: Site) -> DataFrame:
     """Quote columns of every extracted row; rows without symbol or price are dropped."""
     n = F.col("nodes")
-    symbol_text = text_of(inside(n, first(n, lambda x: (x["tag"] == "span") & has_class(x, "symbol"))))
-    name_cell = inside(n, first(n, _is("td", *NAME_CELL)))
-    name_div = first(name_cell, lambda x: (x["tag"] == "div") & has_class(x, "companyName"))
-    pe_text = text_of(inside(n, first(n, _is("td", *PE_CELL))))
-    range_cell = inside(n, first(n, _is("td", *RANGE_CELL)))
-    labels = inside(range_cell, first(range_cell, lambda x: (x["tag"] == "div") & has_class(x, "labels")))
-    spans = F.filter(labels, _is("span"))
+    keys = [c for c in rows.columns if c != "nodes"]
 
-    def span_text(i: int) -> Column:
-        return text_of(inside(labels, F.try_element_at(spans, F.lit(i))))
+    def name(cell: Column) -> Column:
+        div = descend(cell, lambda x: (x["tag"] == "div") & has_class(x, "companyName"))
+        return F.coalesce(text_of(div), text_of(cell))
 
-    keys = [c for c in rows.columns if c != "nodes"]
+    symbol = text_of(descend(n, lambda x: (x["tag"] == "span") & has_class(x, "symbol")))
+    range_labels = descend(
+        descend(n, _is("td", *RANGE_CELL)), lambda x: (x["tag"] == "div") & has_class(x, "labels")
+    )
     texts = rows.select(
         *keys,
-        F.nullif(F.split_part(symbol_text, F.lit(" "), F.lit(1)), F.lit("")).alias("symbol"),
-        F.coalesce(text_of(inside(name_cell, name_div)), text_of(name_cell), F.lit(MISSING)).alias("name"),
-        F.nullif(_stream_text(n, "regularMarketPrice"), F.lit("")).alias("price"),
-        _signed_text(n, "regularMarketChange", True).alias("change_amount"),
-        _signed_text(n, "regularMarketChangePercent", True).alias("change_percent"),
-        _or_missing(_stream_text(n, "regularMarketVolume")).alias("volume"),
-        _or_missing(_stream_text(n, "marketCap")).alias("market_cap"),
-        F.when(~pe_text.isin(*NO_RATIO), pe_text).alias("pe_ratio"),
-        _signed_text(n, "fiftyTwoWeekChangePercent", False).alias("week52_change"),
-        F.when(F.size(spans) >= 2, F.concat_ws(" - ", span_text(1), span_text(2)))
-        .otherwise(MISSING).alias("week52_range"),
+        F.nullif(F.split_part(symbol, F.lit(" "), F.lit(1)), F.lit("")).alias("symbol"),
+        F.coalesce(let(descend(n, _is("td", *NAME_CELL)), name), F.lit(MISSING)).alias("name"),
+        F.nullif(text_of(_streamer(n, "regularMarketPrice")), F.lit("")).alias("price"),
+        _coloured_or_plain(_streamer(n, "regularMarketChange")).alias("change_amount"),
+        _coloured_or_plain(_streamer(n, "regularMarketChangePercent")).alias("change_percent"),
+        _or_missing(text_of(_streamer(n, "regularMarketVolume"))).alias("volume"),
+        _or_missing(text_of(_streamer(n, "marketCap"))).alias("market_cap"),
+        text_of(descend(n, _is("td", *PE_CELL))).alias("pe_ratio"),
+        _coloured(_streamer(n, "fiftyTwoWeekChangePercent")).alias("week52_change"),
+        each(range_labels, _is("span"), text_of).alias("_range"),
     ).where("symbol != 'N/A' AND price != 'N/A'")
     return texts.select(
         *keys, "symbol", "name",
@@ -146,9 +134,10 @@ def parse_quote_row(rows: DataFrame, site: Site) -> DataFrame:
         safe_float(F.col("change_amount")).alias("change_amount"),
         safe_float(F.replace("change_percent", F.lit("%"), F.lit(""))).alias("change_percent"),
         "volume", "market_cap",
-        safe_float(F.col("pe_ratio")).alias("pe_ratio"),
+        safe_float(F.when(~F.col("pe_ratio").isin(*NO_RATIO), F.col("pe_ratio"))).alias("pe_ratio"),
         safe_float(F.replace("week52_change", F.lit("%"), F.lit(""))).alias("week52_change"),
-        "week52_range",
+        F.when(F.size("_range") >= 2, F.concat_ws(" - ", F.col("_range")[0], F.col("_range")[1]))
+        .otherwise(MISSING).alias("week52_range"),
         now_utc().alias("timestamp"),
         F.concat(F.lit(f"{site.quote_base_url}/quote/"), "symbol", F.lit("/")).alias("url"),
     )
@@ -159,24 +148,21 @@ def parse_quote_row(rows: DataFrame, site: Site) -> DataFrame:
 
 def _section_symbols(nodes: Column) -> Column:
     """Sorted distinct base and full symbols named in a story section."""
-    wrapped = F.transform(
-        F.filter(nodes, lambda n: (n["tag"] == "span") & has_class(n, "ticker-wrapper")),
-        lambda w: _wrapped_symbol(inside(nodes, w)),
-    )
-    streamed = F.transform(
+
+    def wrapped(wrapper: Column) -> Column:
+        span = descend(wrapper, lambda n: (n["tag"] == "span") & has_class(n, "symbol"))
+        return F.upper(F.split_part(text_of(span), F.lit(" "), F.lit(1)))
+
+    in_wrappers = each(nodes, lambda n: (n["tag"] == "span") & has_class(n, "ticker-wrapper"), wrapped)
+    in_streamers = F.transform(
         F.filter(nodes, _is("fin-streamer", "data-symbol")),
         lambda s: F.upper(strip(s["attrs"]["data-symbol"])),
     )
     full = F.filter(
-        F.concat(wrapped, streamed), lambda s: s.isNotNull() & ~s.isin(*NO_SYMBOL)
+        F.concat(in_wrappers, in_streamers), lambda s: s.isNotNull() & ~s.isin(*NO_SYMBOL)
     )
-    base = F.transform(full, lambda s: base_symbol(s, "-_"))
-    return F.array_sort(F.array_distinct(F.concat(full, base)))
-
-
-def _wrapped_symbol(nodes: Column) -> Column:
-    span = first(nodes, lambda n: (n["tag"] == "span") & has_class(n, "symbol"))
-    return F.upper(F.split_part(text_of(inside(nodes, span)), F.lit(" "), F.lit(1)))
+    both = let(full, lambda f: F.concat(f, F.transform(f, lambda s: base_symbol(s, "-_"))))
+    return F.array_sort(F.array_distinct(both))
 
 
 def absolute_url(href: Column, base: str) -> Column:
@@ -201,15 +187,17 @@ def extract_story_items(
     ``max_per_page`` keeps the first sections of each page, counted before those
     without headline or link are dropped.
     """
-    sections = _subtrees(F.col("_nodes"), _is("section", *STORY))
+    sections = each(
+        F.col("_nodes"), _is("section", *STORY), lambda nodes: F.struct(nodes.alias("nodes"))
+    )
     n = F.col("_section.nodes")
-    info = first(
+    info = descend(
         n, lambda x: F.coalesce(x["attrs"]["class"].rlike("(?i)publishing|time"), F.lit(False))
     )
-    headline_tag, link_tag = first(n, _is("h3")), first(n, _is("a", "href"))
+    link = first(n, _is("a", "href"))["attrs"]["href"]
     keys = [c for c in pages.columns if c != html]
     stories = (
-        pages.withColumn("_nodes", html_nodes(F.col(html)))
+        pages.select(*keys, html_nodes(F.col(html)).alias("_nodes"))
         .select(*keys, F.posexplode(sections).alias("story_no", "_section"))
     )
     if max_per_page is not None:
@@ -217,9 +205,9 @@ def extract_story_items(
     return (
         stories.select(
             *keys, "story_no",
-            text_of(inside(n, headline_tag)).alias("headline"),
-            absolute_url(strip(link_tag["attrs"]["href"]), site.article_base_url).alias("url"),
-            F.split(text_of(inside(n, info)), "•").alias("_info"),
+            text_of(descend(n, _is("h3"))).alias("headline"),
+            absolute_url(strip(link), site.article_base_url).alias("url"),
+            F.split(text_of(info), "•").alias("_info"),
             _section_symbols(n).alias("stock_symbols"),
         )
         .where("headline IS NOT NULL AND url IS NOT NULL")
@@ -255,19 +243,23 @@ def extract_article(
     Missing parts give '' (author: the site's name, dates: NULL).
     """
     n = F.col("_nodes")
-    body = inside(n, first(n, _is(*markers.body)))
-    paragraphs = F.transform(F.filter(body, _is("p")), lambda p: text_of(inside(body, p)))
-    time_text = text_of(inside(n, first(n, _is(*markers.time))))
-    published = parse_publish_date(F.nullif(time_text, F.lit("")))
+
+    def part(marker: tuple[str, str | None, str | None]) -> Column:
+        return descend(n, _is(*marker))
+
+    paragraphs = each(part(markers.body), _is("p"), text_of)
+    keys = [c for c in pages.columns if c != html]
     return (
-        pages.withColumn("_nodes", html_nodes(F.col(html)))
+        pages.select(*keys, html_nodes(F.col(html)).alias("_nodes"))
         .select(
-            *[c for c in pages.columns if c != html],
-            F.coalesce(text_of(inside(n, first(n, _is(*markers.title)))), F.lit("")).alias("title"),
-            F.coalesce(text_of(inside(n, first(n, _is(*markers.author)))), F.lit(site.name)).alias("author"),
-            published.alias("_published"),
-            F.coalesce(clean_text(F.array_join(paragraphs, " ")), F.lit("")).alias("body"),
+            *keys,
+            F.coalesce(text_of(part(markers.title)), F.lit("")).alias("title"),
+            F.coalesce(text_of(part(markers.author)), F.lit(site.name)).alias("author"),
+            F.nullif(text_of(part(markers.time)), F.lit("")).alias("_time"),
+            clean_text(F.array_join(paragraphs, " ")).alias("body"),
         )
+        .withColumn("_published", parse_publish_date(F.col("_time")))
+        .drop("_time")
         .withColumn("publish_date_iso", _iso(F.col("_published")))
         .withColumn("publish_date_utc", F.unix_seconds("_published"))
         .drop("_published")
@@ -288,8 +280,12 @@ def build_posts(
     """
     fetched = F.current_timestamp() if fetched_at is None else fetched_at
     created = F.coalesce("publish_date_utc", F.unix_seconds(fetched))
-    article = articles.select("url", "author", "publish_date_utc", "body")
-    return stories.join(article, "url", "left").select(
+    article = pick_last(
+        articles.select("url", "author", "publish_date_utc", "body"),
+        ["url"], ["publish_date_utc", "body"],
+    )
+    joined = lookup_join(stories, article, "url", spread=["headline"], how="left")
+    return joined.select(
         F.sha2("url", 256).alias("post_id"),
         created.alias("created_utc"),
         _iso(F.timestamp_seconds(created)).alias("created_iso"),

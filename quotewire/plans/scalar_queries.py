@@ -11,8 +11,8 @@ from quotewire.plans.catalog import query, rounded
 from quotewire.plans.inputs import NEGATIVE, POSITIVE, Inputs, sql
 
 # White space, word characters and plain punctuation, as regular expression classes.
-_SPACE = r"\p{Z}\t\n\x0B\f\r\x1C-\x1F\x85"
-_OTHER = r"[^\p{L}\p{N}_" + _SPACE + r",.''\"!?;:]"
+SPACE_SQL = r"\p{Z}\t\n\x0B\f\r\x1C-\x1F\x85"
+OTHER_SQL = r"[^\p{L}\p{N}_" + SPACE_SQL + r",.''\"!?;:]"
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -21,10 +21,10 @@ def _number_sql(text: str) -> str:
 
 
 def _strip_sql(text: str) -> str:
-    return f"regexp_replace({text}, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g')"
+    return f"regexp_replace({text}, '^[{SPACE_SQL}]+|[{SPACE_SQL}]+$', '', 'g')"
 
 
-_CLEAN = f"trim(regexp_replace(coalesce(text, ''), '[{_SPACE}]+', ' ', 'g'))"
+_CLEAN = f"trim(regexp_replace(coalesce(text, ''), '[{SPACE_SQL}]+', ' ', 'g'))"
 
 
 @query("clean_text", f"SELECT doc_id, {_CLEAN} AS cleaned FROM documents")
@@ -135,7 +135,7 @@ def url_count(t: Inputs) -> DataFrame:
 
 @query(
     "symbol_char_count",
-    f"SELECT doc_id, len(regexp_extract_all(text, '{_OTHER}')) AS symbol_chars FROM documents",
+    f"SELECT doc_id, len(regexp_extract_all(text, '{OTHER_SQL}')) AS symbol_chars FROM documents",
 )
 def symbol_char_count(t: Inputs) -> DataFrame:
     return t.table("documents").select(
@@ -146,7 +146,7 @@ def symbol_char_count(t: Inputs) -> DataFrame:
 @query(
     "token_count",
     f"""SELECT conv_id, turn, len(list_filter(
-        regexp_split_to_array(text, '[{_SPACE}]+'), lambda x: x <> '')) AS tokens
+        regexp_split_to_array(text, '[{SPACE_SQL}]+'), lambda x: x <> '')) AS tokens
     FROM conversations""",
 )
 def token_count(t: Inputs) -> DataFrame:

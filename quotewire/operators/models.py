@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,54 +88,74 @@ def magnitude_forest(trees: int = TREES, depth: int = 5) -> RandomForestRegresso
 
 
 @dataclass(frozen=True)
-class ForestModels:
-    """Fitted models with their one-row results and the scored test rows."""
+class Forest:
+    """A fitted forest, the scored test rows and the measure of the fit on them."""
 
-    classifier: PipelineModel
-    regressor: PipelineModel
-    results: DataFrame
-    feature_importance: DataFrame
+    model: RandomForestClassificationModel | RandomForestRegressionModel
     predictions: DataFrame
+    score: float
 
 
-def build_prediction_models(
-    series: DataFrame, trees: int = TREES, depth: int = 5
-) -> ForestModels | None:
-    """Fit and evaluate both forests; None where there is too little data."""
-    frame = materialize(model_frame(series))
-    train, test = train_test_split(frame)
-    sizes = frame.agg(
-        F.count("*").alias("sample_size"),
-        F.count_if(in_train()).alias("train_size"),
-    ).first()
-    if sizes["train_size"] == 0 or sizes["sample_size"] == sizes["train_size"]:
-        return None
-    scaled_train, scaled_test = scale_features(train, test)
-    classifier = direction_forest(trees, depth).fit(scaled_train)
-    regressor = magnitude_forest(trees, depth).fit(scaled_train)
-    scored = regressor.transform(classifier.transform(scaled_test))
+def predict_direction(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = 5) -> Forest:
+    """Forest for rise or not; the score is its accuracy."""
+    model = direction_forest(trees, depth).fit(train)
+    scored = model.transform(test)
     accuracy = MulticlassClassificationEvaluator(
         labelCol="price_direction", predictionCol="predicted_direction", metricName="accuracy"
     ).evaluate(scored)
+    return Forest(model, scored, accuracy)
+
+
+def predict_magnitude(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = 5) -> Forest:
+    """Forest for the size of the move; the score is its mean squared error."""
+    model = magnitude_forest(trees, depth).fit(train)
+    scored = model.transform(test)
     mse = RegressionEvaluator(
         labelCol=TARGET, predictionCol="predicted_change", metricName="mse"
     ).evaluate(scored)
+    return Forest(model, scored, mse)
 
-    spark = series.sparkSession
-    n, n_train = sizes["sample_size"], sizes["train_size"]
-    results = spark.createDataFrame(
-        [(accuracy, mse, n, n_train, n - n_train)],
-        "classification_accuracy double, regression_mse double, "
-        "sample_size long, train_size long, test_size long",
-    )
-    return ForestModels(
-        classifier, regressor, results,
-        feature_importance(series, classifier, regressor),
-        scored.select(
-            "stock_symbol", "date", "price_direction", "predicted_direction",
-            TARGET, "predicted_change",
-        ),
-    )
+
+@dataclass(frozen=True)
+class ForestModels:
+    """Both forests with their one-row results and the importance table."""
+
+    classifier: Forest
+    regressor: Forest
+    results: DataFrame
+    feature_importance: DataFrame
+
+
+def scaled_split(series: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Scaled training and test rows; None where there is too little data.
+
+    The fits below pass over these rows many times, so they are written out once.
+    """
+    frame = materialize(model_frame(series))
+    train, test = train_test_split(frame)
+    if train.isEmpty() or test.isEmpty():
+        return None
+    return scale_features(train, test)
+
+
+def build_prediction_models(
+    series: DataFrame, trees: int = TREES, depth: int = 5
+) -> ForestModels | None:
+    """Fit and evaluate both forests; None where there is too little data."""
+    split = scaled_split(series)
+    if split is None:
+        return None
+    train, test = split
+    classifier = predict_direction(train, test, trees, depth)
+    regressor = predict_magnitude(train, test, trees, depth)
+    results = train.agg(F.count("*").alias("train_size")).select(
+        F.lit(classifier.score).alias("classification_accuracy"),
+        F.lit(regressor.score).alias("regression_mse"),
+        "train_size",
+        test.agg(F.count("*")).scalar().alias("test_size"),
+    ).withColumn("sample_size", F.col("train_size") + F.col("test_size"))
+    importance = feature_importance(series, classifier.model, regressor.model)
+    return ForestModels(classifier, regressor, results, importance)
 
 
 def feature_importance(df: DataFrame, classifier, regressor) -> DataFrame:

@@ -69,10 +69,11 @@ def base_workflow(
 ) -> Tables:
     """Score posts, pair them with quotes, correlate, and the chart feeds and summaries.
 
-    With ``skip_sentiment`` posts count as neutral 0.0.
+    With ``skip_sentiment`` posts count as neutral 0.0. Scored posts and pairs feed many
+    tables, so each is worked out once and written to the shared folder.
     """
-    scored = None if skip_sentiment else score_articles(posts, scorer)
-    pairs = integrate(quotes, posts if scored is None else scored, quote_order)
+    scored = None if skip_sentiment else materialize(score_articles(posts, scorer))
+    pairs = materialize(integrate(quotes, posts if scored is None else scored, quote_order))
     sections = correlation_sections(pairs)
     groups = summaries.symbol_groups(pairs)
     run = summaries.run_summary(quotes, posts, scored, pairs)
@@ -168,11 +169,12 @@ def correlation_report(
 
     ``quote_order`` names columns of the cleaned quotes that decide which quote of a
     symbol is the first; ``spread`` columns of the cleaned articles that tell them apart.
+    The matched news feeds every table, so it is written to the shared folder once.
     """
     words = words or {"positive": POSITIVE_WORDS, "negative": NEGATIVE_WORDS}
     news = with_lexicon_sentiment(clean_articles(articles), words["positive"], words["negative"])
     returns = with_returns(clean_quotes(quotes))
-    matched = match_news_or_default(news, returns, quote_order, spread)
+    matched = materialize(match_news_or_default(news, returns, quote_order, spread))
     found = matched.agg(F.count("*").alias("total_matches"))
     return {
         "matched": matched,

@@ -53,19 +53,24 @@ def read_stock_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> Da
 
 
 def read_snapshots(
-    spark: SparkSession, path: str, row: T.StructType, pattern: str = "*.json"
+    spark: SparkSession,
+    path: str,
+    row: T.StructType,
+    pattern: str = "*.json",
+    multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of every JSON snapshot in a folder, and the files that could not be read.
 
     A list holds rows. An object that has ``posts``, ``chunks``, ``top_gainers`` or
     ``top_losers`` holds the rows of these; any other object is one row. Rows have the
     columns of ``row``, NULL where a snapshot lacks them. Rejects: file, content.
+    Without ``multi_line`` every line of a file is a snapshot.
     """
     holders = [T.StructField(h, T.ArrayType(row)) for h in ROW_HOLDERS]
     schema = T.StructType([*row.fields, *holders, T.StructField(_CORRUPT, T.StringType())])
     raw = (
         spark.read.schema(schema)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("pathGlobFilter", pattern)
         .json(path)

@@ -84,9 +84,11 @@ def read_snapshots(
         .select(F.explode(F.when(is_row, own).otherwise(F.concat(*held))).alias("_row"))
         .select("_row.*")
     )
+    # Spark reads no file for the corrupt column alone, so another column goes with it
+    content = F.coalesce(_CORRUPT, F.col(row.names[0]).cast("string"))
     rejects = raw.where(F.col(_CORRUPT).isNotNull()).select(
-        F.col("_metadata.file_path").alias("file"), F.col(_CORRUPT).alias("content"), row.names[0]
-    ).drop(row.names[0])
+        F.col("_metadata.file_path").alias("file"), content.alias("content")
+    )
     return rows, rejects
 
 

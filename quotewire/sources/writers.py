@@ -18,9 +18,13 @@ from quotewire.operators.summaries import (
 )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+# Quotes in a cell are doubled, as spreadsheets and data frame libraries expect.
+DOUBLED_QUOTES = {"escape": '"'}
+
+
+def write_csv(df: DataFrame, path: str, **options: str) -> None:
     """Headered CSV, replacing what is there."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**options).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -31,7 +35,7 @@ def write_json(df: DataFrame, path: str) -> None:
 def write_stocks(quotes: DataFrame, folder: str) -> None:
     """Quotes as JSON and CSV, their summary and the top movers."""
     write_json(quotes, f"{folder}/stocks_json")
-    write_csv(quotes, f"{folder}/stocks_csv")
+    write_csv(quotes, f"{folder}/stocks_csv", **DOUBLED_QUOTES)
     write_json(stock_summary(quotes), f"{folder}/stock_summary")
     write_json(top_movers(quotes), f"{folder}/top_movers")
 
@@ -63,7 +67,7 @@ def write_result_tables(tables: Mapping[str, DataFrame], folder: str) -> list[st
     written = []
     for name, df in tables.items():
         if not df.isEmpty():
-            write_csv(flat(df), f"{folder}/{name}")
+            write_csv(flat(df), f"{folder}/{name}", **DOUBLED_QUOTES)
             written.append(name)
     return written
 

@@ -4,13 +4,16 @@ The parser is the only Python here: it lists the nodes of a page in document
 order. Finding rows, cells and links is then done with array functions.
 """
 
+import re
 from collections.abc import Callable
-from html.parser import HTMLParser
+from html import unescape
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotewire.functions.common import let
 from quotewire.functions.text import squeeze
 
 TEXT = "#text"
@@ -32,59 +35,106 @@ NODES = T.ArrayType(
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-_HIDDEN = frozenset(("script", "style", "template"))
+
+# A comment, a declaration, a script or style with its content, or a tag.
+_MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z)
+    | <[!?][^>]*+>
+    | <(?P<raw>script|style)\b[^>]*+>.*?(?:</(?P=raw)\b[^>]*+>|\Z)
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    re.IGNORECASE | re.DOTALL | re.VERBOSE,
+)
+_ATTR = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++)))?""")
 
 
-class _NodeLister(HTMLParser):
+class _NodeTable:
+    """Nodes of pages, gathered column by column as Arrow wants them."""
+
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
-
-    def _add(self, tag: str, attrs: dict | None, text: str | None) -> dict:
-        pos = len(self.nodes)
-        node = {"tag": tag, "attrs": attrs, "text": text, "pos": pos, "last": pos}
-        self.nodes.append(node)
-        return node
-
-    def _close(self, tag: str) -> None:
-        if any(node["tag"] == tag for node in self.open):
-            while True:
-                node = self.open.pop()
-                node["last"] = len(self.nodes) - 1
-                if node["tag"] == tag:
-                    return
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "p":  # a new paragraph ends an unclosed one
-            self._close("p")
-        node = self._add(tag, {name: value or "" for name, value in attrs}, None)
-        if tag not in _VOID:
-            self.open.append(node)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        self._close(tag)
-
-    def handle_data(self, data):
-        if not any(node["tag"] in _HIDDEN for node in self.open):
-            self._add(TEXT, None, data)
-
-    def listing(self, html: str) -> list[dict]:
-        self.feed(html)
-        self.close()
-        while self.open:
-            self.open.pop()["last"] = len(self.nodes) - 1
-        return self.nodes
-
-
-@F.udf(returnType=NODES, useArrow=True)
-def html_nodes(html: str) -> list:
+        self.tag: list[str] = []
+        self.text: list[str | None] = []
+        self.pos: list[int] = []
+        self.last: list[int] = []
+        self.keys: list[str] = []
+        self.values: list[str] = []
+        self.attr_ends = [0]
+        self.page_ends = [0]
+
+    def add_node(self, tag: str, attrs: dict[str, str], text: str | None, pos: int) -> None:
+        self.tag.append(tag)
+        self.text.append(text)
+        self.pos.append(pos)
+        self.last.append(pos)
+        self.keys += attrs.keys()
+        self.values += attrs.values()
+        self.attr_ends.append(len(self.keys))
+
+    def add_page(self, html: str) -> None:
+        base, done = len(self.tag), 0
+        open_tags: list[tuple[str, int]] = []  # with the place of the node
+
+        def close(tag: str) -> None:
+            if any(tag == t for t, _ in open_tags):
+                ended, last = None, len(self.tag) - 1 - base
+                while ended != tag:
+                    ended, place = open_tags.pop()
+                    self.last[place] = last
+
+        def add_text(end: int) -> None:
+            if end > done:
+                self.add_node(TEXT, {}, unescape(html[done:end]), len(self.tag) - base)
+
+        for match in _MARKUP.finditer(html):
+            add_text(match.start())
+            done = match.end()
+            if match["tag"] is None:
+                continue
+            tag = match["tag"].lower()
+            if match["end"]:
+                close(tag)
+                continue
+            if tag == "p":  # a new paragraph ends an unclosed one
+                close("p")
+            attrs = {
+                name.lower(): unescape(a or b or c) for name, a, b, c in _ATTR.findall(match["attrs"])
+            }
+            self.add_node(tag, attrs, None, len(self.tag) - base)
+            if tag not in _VOID and not match["attrs"].endswith("/"):
+                open_tags.append((tag, len(self.tag) - 1))
+        add_text(len(html))
+        for _, place in open_tags:
+            self.last[place] = len(self.tag) - 1 - base
+
+    def end_page(self) -> None:
+        self.page_ends.append(len(self.tag))
+
+    def array(self) -> pa.Array:
+        attrs = pa.MapArray.from_arrays(
+            pa.array(self.attr_ends, pa.int32()),
+            pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()),
+        )
+        nodes = pa.StructArray.from_arrays(
+            [
+                pa.array(self.tag, pa.string()), attrs, pa.array(self.text, pa.string()),
+                pa.array(self.pos, pa.int32()), pa.array(self.last, pa.int32()),
+            ],
+            names=["tag", "attrs", "text", "pos", "last"],
+        )
+        return pa.ListArray.from_arrays(pa.array(self.page_ends, pa.int32()), nodes)
+
+
+def _list_nodes(pages: pa.Array) -> pa.Array:
+    table = _NodeTable()
+    for html in pages.to_pylist():
+        if html:
+            table.add_page(html)
+        table.end_page()
+    return table.array()
+
+
+def html_nodes(html: Column) -> Column:
     """Nodes of a page in document order; NULL gives none."""
-    return _NodeLister().listing(html) if html else []
+    return F.arrow_udf(_list_nodes, NODES)(html)
 
 
 def has_class(node: Column, part: str) -> Column:
@@ -97,14 +147,6 @@ def has_attr(node: Column, name: str, value: str | None = None) -> Column:
     return found.isNotNull() if value is None else F.coalesce(found == value, F.lit(False))
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` worked out once, however often it is used.
-
-    Needed around lambdas: what a lambda refers to is worked out for every element.
-    """
-    return F.transform(F.array(value), use)[0]
-
-
 def first(nodes: Column, test: Test) -> Column:
     """First node that passes ``test``, or NULL."""
     return F.try_element_at(F.filter(nodes, test), F.lit(1))

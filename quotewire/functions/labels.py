@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quotewire.functions.common import let
 from quotewire.functions.text import strip
 
 # The default word lists, matched as substrings.
@@ -65,10 +66,15 @@ def lexicon_sentiment(
 
     Every 0.2 per word of lead on top of 0.3, at most 0.9, signed by the leader.
     """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    lead = _words_present(lowered, positive) - _words_present(lowered, negative)
-    size = F.least(F.lit(0.9), F.lit(0.3) + F.abs(lead) * F.lit(0.2))
-    return F.struct(
-        F.when(lead > 0, "POSITIVE").when(lead < 0, "NEGATIVE").otherwise("NEUTRAL").alias("label"),
-        F.when(lead > 0, size).when(lead < 0, -size).otherwise(F.lit(0.0)).alias("score"),
-    )
+    def lead(lowered: Column) -> Column:
+        return _words_present(lowered, positive) - _words_present(lowered, negative)
+
+    def scored(lead: Column) -> Column:
+        size = F.least(F.lit(0.9), F.lit(0.3) + F.abs(lead) * F.lit(0.2))
+        label = F.when(lead > 0, "POSITIVE").when(lead < 0, "NEGATIVE").otherwise("NEUTRAL")
+        return F.struct(
+            label.alias("label"),
+            F.when(lead > 0, size).when(lead < 0, -size).otherwise(F.lit(0.0)).alias("score"),
+        )
+
+    return let(let(F.lower(F.coalesce(text, F.lit(""))), lead), scored)

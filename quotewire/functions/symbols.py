@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quotewire.functions.common import let
 from quotewire.functions.text import WORD
 
 UNKNOWN = "UNKNOWN"
@@ -59,15 +60,20 @@ def symbol_from_text(
 ) -> Column:
     """Symbol named in an article: by keyword, else by how symbols are written."""
     whole = F.concat_ws(" ", F.coalesce(headline, F.lit("")), F.coalesce(text, F.lit("")))
-    lowered = F.lower(whole)
-    by_keyword = F.coalesce(
-        *[F.when(lowered.contains(word), F.lit(symbol)) for word, symbol in keywords.items()],
-        F.lit(None).cast("string"),
-    )
-    by_pattern = [
-        F.nullif(F.regexp_extract(whole, pattern, 1), F.lit("")) for pattern in SYMBOL_PATTERNS
-    ]
-    return F.coalesce(by_keyword, *by_pattern, F.lit(UNKNOWN))
+
+    def by_keyword(lowered: Column) -> Column:
+        return F.coalesce(
+            F.lit(None).cast("string"),
+            *[F.when(lowered.contains(word), F.lit(s)) for word, s in keywords.items()],
+        )
+
+    def found(whole: Column) -> Column:
+        by_pattern = [
+            F.nullif(F.regexp_extract(whole, pattern, 1), F.lit("")) for pattern in SYMBOL_PATTERNS
+        ]
+        return F.coalesce(let(F.lower(whole), by_keyword), *by_pattern, F.lit(UNKNOWN))
+
+    return let(whole, found)
 
 
 def sector_of(

@@ -129,7 +129,8 @@ class ForestModels:
 def scaled_split(series: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """Scaled training and test rows; None where there is too little data.
 
-    The fits below pass over these rows many times, so they are written out once.
+    The fits below pass over these rows many times, so they are written out once. The
+    series itself is read twice, for its size and for its rows.
     """
     frame = materialize(model_frame(series))
     train, test = train_test_split(frame)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewire.functions.common import let
 from quotewire.functions.dates import date_bucket, now_utc, parse_publish_date
 from quotewire.functions.html import (
     descend,
@@ -15,7 +16,6 @@ from quotewire.functions.html import (
     has_attr,
     has_class,
     html_nodes,
-    let,
     text_of,
 )
 from quotewire.functions.numbers import safe_float
@@ -78,7 +78,9 @@ def extract_quote_rows(pages: DataFrame, html: str = "html") -> DataFrame:
     return (
         pages.select(*keys, html_nodes(F.col(html)).alias("_nodes"))
         .withColumn("_rows", let(marked, lambda m: F.when(F.size(m) > 0, m).otherwise(by_class)))
-        .select(*keys, F.posexplode("_rows").alias("row_no", "_row"))
+        # the outer form, as the plain one would work out the rows a second time to filter them
+        .select(*keys, F.posexplode_outer("_rows").alias("row_no", "_row"))
+        .where("row_no IS NOT NULL")
         .select(*keys, "row_no", "_row.nodes")
         .where(cells >= 5)
     )
@@ -198,7 +200,8 @@ def extract_story_items(
     keys = [c for c in pages.columns if c != html]
     stories = (
         pages.select(*keys, html_nodes(F.col(html)).alias("_nodes"))
-        .select(*keys, F.posexplode(sections).alias("story_no", "_section"))
+        .select(*keys, F.posexplode_outer(sections).alias("story_no", "_section"))
+        .where("story_no IS NOT NULL")
     )
     if max_per_page is not None:
         stories = stories.where(F.col("story_no") < max_per_page)

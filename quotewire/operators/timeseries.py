@@ -81,8 +81,11 @@ def market_daily(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
         F.avg("price_change_1d").alias("price_change_1d"),
         F.sum("news_count").alias("news_count"),
     )
-    n = series.agg(F.count_distinct("date"))
-    return days.where(n.scalar() >= min_days)
+    # the window spans the days, not the rows they sum up
+    return (
+        days.withColumn("_days", F.count("*").over(W.partitionBy()))
+        .where(F.col("_days") >= min_days).drop("_days")
+    )
 
 
 def symbol_recent(
@@ -105,12 +108,10 @@ def sector_daily(pairs: DataFrame) -> DataFrame:
         F.to_date("published_at").alias("date"),
         "sentiment_score",
     )
-    sectors = placed.agg(F.count_distinct("sector"))
-    return (
-        placed.groupBy("sector", "date")
-        .agg(F.avg("sentiment_score").alias("sentiment_score"))
-        .where(sectors.scalar() >= 2)
-    )
+    daily = placed.groupBy("sector", "date").agg(F.avg("sentiment_score").alias("sentiment_score"))
+    # over one row per sector and day; the set holds the few sectors there are
+    sectors = F.size(F.collect_set("sector").over(W.partitionBy()))
+    return daily.withColumn("_sectors", sectors).where("_sectors >= 2").drop("_sectors")
 
 
 def sector_heatmap(pairs: DataFrame, dates: Sequence[str]) -> DataFrame:

@@ -224,7 +224,7 @@ def scale_features(t: Inputs) -> DataFrame:
 
 @query("predict_direction")
 def predict_direction(t: Inputs) -> DataFrame:
-    forest = models.predict_direction(*models.scaled_split(_series(t)))
+    forest = models.predict_direction(*models.scaled_split(materialize(_series(t))))
     return forest.predictions.select(
         "stock_symbol", "date", "price_direction", "predicted_direction"
     )
@@ -232,13 +232,13 @@ def predict_direction(t: Inputs) -> DataFrame:
 
 @query("predict_magnitude")
 def predict_magnitude(t: Inputs) -> DataFrame:
-    forest = models.predict_magnitude(*models.scaled_split(_series(t)))
+    forest = models.predict_magnitude(*models.scaled_split(materialize(_series(t))))
     return forest.predictions.select("stock_symbol", "date", "price_change_1d", "predicted_change")
 
 
 @query("feature_importance")
 def feature_importance(t: Inputs) -> DataFrame:
-    return models.build_prediction_models(_series(t)).feature_importance
+    return models.build_prediction_models(materialize(_series(t))).feature_importance
 
 
 @query("kmeans_elbow")

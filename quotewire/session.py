@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows sent to Python hold whole pages and articles.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Split a hot key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -1,7 +1,11 @@
+from html.parser import HTMLParser
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quotewire.functions.html import html_nodes, text_of
+from quotewire.functions.html import TEXT, _NodeTable, html_nodes, text_of
 from quotewire.operators import pages
 from quotewire.plans.inputs import SITE
 
@@ -25,6 +29,74 @@ def test_text_skips_scripts_and_decodes(spark):
     assert df.first()[0] == "a & bcd"
 
 
+class Events(HTMLParser):
+    """Start tags with attributes, and text outside scripts and styles, in order."""
+
+    def __init__(self):
+        super().__init__()
+        self.seen, self.hidden = [], False
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden = tag in ("script", "style")
+        if not self.hidden:
+            self.seen.append((tag, {k: v or "" for k, v in attrs}))
+
+    def handle_endtag(self, tag):
+        self.hidden = False
+
+    def handle_data(self, data):
+        if not self.hidden:
+            joined = self.seen and self.seen[-1][0] == TEXT
+            self.seen[-1 if joined else len(self.seen):] = [(TEXT, (self.seen[-1][1] if joined else "") + data)]
+
+
+def listed(html):
+    table = _NodeTable()
+    table.add_page(html)
+    out, ends = [], table.attr_ends
+    for i, tag in enumerate(table.tag):
+        if tag != TEXT:
+            out.append((tag, dict(zip(table.keys[ends[i]:ends[i + 1]], table.values[ends[i]:ends[i + 1]]))))
+        elif out and out[-1][0] == TEXT:
+            out[-1] = (TEXT, out[-1][1] + table.text[i])
+        else:
+            out.append((TEXT, table.text[i]))
+    return out
+
+
+PIECES = [
+    '<a href="x>y" b=\'q"r\' c=d e>t</a>', "<A HREF=/x/y>1 &lt; 2 &amp;amp; &eacute;&#233;</A>", "a < b > c", "<br/><img src=x />z",
+    "x<!-- <b> -->y<!DOCTYPE html>z", "<script>if (a<b) '<p>'</script>s<style>p{}</style>", "<x-y data-a = '1'>t</x-y>", "<p\n class='a\nb'\n>t",
+]
+
+
+@pytest.mark.parametrize("html", [*PIECES, "".join(PIECES)])
+def test_nodes_agree_with_the_standard_parser(html):
+    parser = Events()
+    parser.feed(html)
+    parser.close()
+    assert listed(html) == parser.seen
+
+
+def test_given_pages_agree_with_the_standard_parser():
+    path = "/root/testdata/sf0.01/pages.parquet"
+    for (html,) in duckdb.sql(f"SELECT html FROM '{path}'").fetchall():
+        parser = Events()
+        parser.feed(html)
+        parser.close()
+        assert listed(html) == parser.seen
+
+
+def test_nesting():
+    table = _NodeTable()
+    table.add_page("<div><p>a<p>b<br>c</div></i><span>d")
+    tree = list(zip(table.tag, table.pos, table.last))
+    assert tree == [
+        ("div", 0, 6), ("p", 1, 2), (TEXT, 2, 2), ("p", 3, 6), (TEXT, 4, 4), ("br", 5, 5), (TEXT, 6, 6),
+        ("span", 7, 8), (TEXT, 8, 8),
+    ]
+
+
 def test_null_and_empty_pages(spark):
     df = page(spark, None, "")
     assert pages.extract_quote_rows(df).count() == 0

@@ -49,8 +49,8 @@ def signed_score(label: Column, confidence: Column) -> Column:
 def short_text_guard(text: Column, scored: Column, minimum: int = 10) -> Column:
     """``scored`` (struct of label, score), or neutral where the text says too little."""
     neutral = F.struct(F.lit("neutral").alias("label"), F.lit(0.0).alias("score"))
-    too_short = F.coalesce(F.length(strip(text)) < minimum, F.lit(True))
-    return F.when(too_short, neutral).otherwise(scored)
+    long_enough = F.coalesce(F.length(strip(text)) >= minimum, F.lit(False))
+    return F.when(long_enough, scored).otherwise(neutral)
 
 
 def _words_present(lowered: Column, words: Sequence[str]) -> Column:

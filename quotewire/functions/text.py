@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 SPACE = r"\p{Z}\t\n\x0B\f\r\x1C-\x1F\x85"
 WORD = r"\p{L}\p{N}_"
 
+# The characters of SPACE.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def squeeze(text: Column) -> Column:
     """Runs of white space become one space, ends are stripped."""
@@ -20,7 +26,7 @@ def clean_text(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """White space (any Unicode kind) off both ends."""
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def url_count(text: Column) -> Column:

@@ -26,20 +26,22 @@ def _cell(cells: int) -> Column:
     return F.least(F.lit(cells - 1), F.floor(F.coalesce(place, F.lit(0.0)) * cells).cast("int"))
 
 
-def _wanted_ranks(spans: DataFrame, slots: list[str], probabilities: Sequence[float]) -> DataFrame:
-    """Two neighbouring ranks per group and probability, with their weights."""
-    place = (F.col("_total") - 1) * F.col("probability")
-    low = F.floor(place)
-    both = F.array(
-        F.struct(low.alias("_rank"), (1 - (place - low)).alias("_weight")),
-        F.struct((low + 1).alias("_rank"), (place - low).alias("_weight")),
-    )
-    return (
-        spans.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .select(*slots, "probability", F.explode(both).alias("_r"))
-        .select(*slots, "probability", "_r.*")
-        .where("_weight > 0")
-    )
+def _wanted(probabilities: Sequence[float]) -> Column:
+    """The two neighbouring ranks of each probability, with their weights."""
+    out = []
+    for p in probabilities:
+        place = (F.col("_total") - 1) * F.lit(float(p))
+        low = F.floor(place)
+        for rank, weight in ((low, 1 - (place - low)), (low + 1, place - low)):
+            out.append(F.struct(
+                F.lit(float(p)).alias("probability"), rank.alias("rank"), weight.alias("weight")
+            ))
+    return F.filter(F.array(*out), lambda w: w["weight"] > 0)
+
+
+def _hits(first: Column, count: Column) -> Column:
+    """The wanted ranks among ``count`` rows of which ``first`` is the lowest rank."""
+    return F.filter("_wanted", lambda w: (w["rank"] >= first) & (w["rank"] < first + count))
 
 
 def quantiles(
@@ -61,40 +63,49 @@ def quantiles(
         .agg(F.count("*").alias("_n"))
     )
 
-    def with_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    def attach(rows: DataFrame, ranges: DataFrame, columns: list[str], whole: bool) -> DataFrame:
+        if whole:  # one range, for every row
+            only = ranges.select(F.struct(*columns)).scalar()
+            return rows.withColumn("_r", only).select(*rows.columns, "_r.*")
+        info = ranges.select(*slots, *columns)
         if not by:  # at most two ranges per probability
-            return rows.join(F.broadcast(ranges), slots)
-        return lookup_join(rows, ranges, slots, spread=["_v"])
+            return rows.join(F.broadcast(info), slots)
+        return lookup_join(rows, info, slots, spread=["_n"] + (["_v"] if "_v" in rows.columns else []))
 
-    spans = values.groupBy(*slots).agg(
+    ranges = values.groupBy(*slots).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total")
+    ).select(
+        *slots, "_low", "_high", F.lit(0).cast("long").alias("_before"),
+        _wanted(probabilities).alias("_wanted"),
     )
-    ranges = spans.select(*slots, "_low", "_high", F.lit(0).cast("long").alias("_before"))
-    wanted = _wanted_ranks(spans, slots, probabilities)
+    whole = not by
     for _ in range(levels):
-        celled = with_ranges(values, ranges).withColumn("_cell", _cell(cells))
-        # at most `cells` rows per slot
-        in_order = W.partitionBy(*slots).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
-        parts = (
-            celled.groupBy(*slots, "_before", "_cell")
-            .agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_n"))
-            .withColumn("_before", F.col("_before") + F.coalesce(F.sum("_n").over(in_order), F.lit(0)))
+        celled = attach(values, ranges, ["_low", "_high"], whole).withColumn("_cell", _cell(cells))
+        parts = celled.groupBy(*slots, "_cell").agg(
+            F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_n")
         )
+        # at most `cells` rows per slot
+        earlier = W.partitionBy(*slots).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+        first = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
         inner = (F.col("_slot") * cells + F.col("_cell")).alias("_slot")
-        hits = wanted.join(parts, slots).where("_rank >= _before AND _rank < _before + _n")
-        wanted = hits.select(*by, inner, "probability", "_rank", "_weight")
-        ranges = hits.select(*by, inner, "_low", "_high", "_before").distinct()
+        ranges = (
+            attach(parts, ranges, ["_before", "_wanted"], whole)
+            .withColumn("_before", first)
+            .withColumn("_wanted", _hits(F.col("_before"), F.col("_n")))
+            .where(F.size("_wanted") > 0)
+            .select(*by, inner, "_low", "_high", "_before", "_wanted")
+        )
         values = celled.select(*by, inner, "_v", "_n")
+        whole = False
 
-    upto = W.partitionBy(*slots).orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ordered = with_ranges(values, ranges).withColumn(
-        "_upto", F.col("_before") + F.sum("_n").over(upto)
-    )
+    earlier = W.partitionBy(*slots).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     return (
-        wanted.join(ordered, slots)
-        .where(F.col("_rank").between(F.col("_upto") - F.col("_n"), F.col("_upto") - 1))
-        .groupBy(*by, "probability")
-        .agg(F.sum(F.col("_weight") * F.col("_v")).alias("quantile"))
+        attach(values, ranges, ["_before", "_wanted"], whole)
+        .withColumn("_first", first)
+        .select(*by, "_v", F.explode(_hits(F.col("_first"), F.col("_n"))).alias("_w"))
+        .groupBy(*by, F.col("_w.probability").alias("probability"))
+        .agg(F.sum(F.col("_w.weight") * F.col("_v")).alias("quantile"))
     )
 
 

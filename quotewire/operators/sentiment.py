@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotewire.functions.common import let
 from quotewire.functions.dates import now_utc
 from quotewire.functions.labels import (
     NEGATIVE_WORDS,
@@ -23,6 +24,7 @@ SCORED = "label string, score double"
 # of texts into a frame with the columns label and score.
 BatchScorer = Callable[[pd.Series], pd.DataFrame]
 ScorerLoader = Callable[[], BatchScorer]
+Scorer = Callable[[Column], Column]
 
 TEXT_COLUMNS = ("text_raw", "clean_text", "headline")
 
@@ -38,7 +40,7 @@ def with_lexicon_sentiment(
     )
 
 
-def model_scorer(load: ScorerLoader) -> Callable[[Column], Column]:
+def model_scorer(load: ScorerLoader) -> Scorer:
     """Column function for a model: loaded once per worker, fed in Arrow batches.
 
     A row whose scoring fails becomes neutral 0.0; a failing batch is scored row by
@@ -67,24 +69,30 @@ def model_scorer(load: ScorerLoader) -> Callable[[Column], Column]:
     return F.pandas_udf(score_batches, returnType=SCORED)
 
 
-def lexicon_scorer(text: Column) -> Column:
-    """The built-in scorer, with lower-case labels."""
-    scored = lexicon_sentiment(text)
-    return F.struct(F.lower(scored["label"]).alias("label"), scored["score"].alias("score"))
+def lexicon_scorer(
+    positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
+) -> Scorer:
+    """The built-in scorer by word lists, with lower-case labels."""
+
+    def lowered(scored: Column) -> Column:
+        return F.struct(F.lower(scored["label"]).alias("label"), scored["score"].alias("score"))
+
+    return lambda text: let(lexicon_sentiment(text, positive, negative), lowered)
 
 
 def score_articles(
-    articles: DataFrame, scorer: Callable[[Column], Column] = lexicon_scorer
+    articles: DataFrame, scorer: Scorer | None = None
 ) -> DataFrame:
     """Adds sentiment_label, sentiment_score (4 places) and sentiment_analyzed_at.
 
     Texts are the first non-empty of text_raw, clean_text and headline; texts under
-    ten characters are neutral.
+    ten characters are neutral. ``scorer`` maps a text column to a struct (label, score);
+    the default is :func:`lexicon_scorer`, a model comes by :func:`model_scorer`.
     """
     present = [F.col(c) for c in TEXT_COLUMNS if c in articles.columns]
     return (
         articles.withColumn("_text", pick_text(*present))
-        .withColumn("_s", scorer(F.col("_text")))
+        .withColumn("_s", (scorer or lexicon_scorer())(F.col("_text")))
         .withColumn("_s", short_text_guard(F.col("_text"), F.col("_s")))
         .withColumns({
             "sentiment_label": F.col("_s.label"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quotewire.functions.dates import time_period
 from quotewire.functions.labels import sentiment_level, sentiment_type
-from quotewire.operators.keyed import not_null
+from quotewire.operators.keyed import lookup_join, not_null
 
 PAIR_ORDER = ("published_at", "news_id")
 
@@ -257,7 +257,7 @@ def news_volume(matched: DataFrame, volume: str = "total_volume") -> DataFrame:
         matched.where(not_null(*days))
         .select(*days, F.col(volume).alias("total_volume"), "daily_return").distinct()
     )
-    return rows.join(counts, days).select(
+    return lookup_join(rows, counts, days, spread=["total_volume", "daily_return"]).select(
         *days, "daily_news_count", "total_volume", "daily_return"
     )
 

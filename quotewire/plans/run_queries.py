@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.functions.labels import lexicon_sentiment
 from quotewire.operators import models, stats, summaries, timeseries
 from quotewire.operators.joins import integrate
 from quotewire.operators.pages import build_chunks
-from quotewire.operators.sentiment import score_articles
+from quotewire.operators.sentiment import lexicon_scorer, score_articles
 from quotewire.plans import workflows
 from quotewire.plans.catalog import query, rounded
 from quotewire.plans.inputs import NEGATIVE, POSITIVE, SITE, Inputs, sql
@@ -43,9 +42,7 @@ def scratch(t: Inputs, name: str) -> str:
     return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def _scorer(text):
-    s = lexicon_sentiment(text, POSITIVE, NEGATIVE)
-    return F.struct(F.lower(s["label"]).alias("label"), s["score"].alias("score"))
+SCORER = lexicon_scorer(POSITIVE, NEGATIVE)
 
 
 # --- sources and sinks: written by Spark, then read back -------------------------------
@@ -163,7 +160,7 @@ def write_news(t: Inputs) -> DataFrame:
 @query("write_analysis", sql(PAIR_LABEL_COUNTS.format("post_pairs"), "post_pairs"))
 def write_analysis(t: Inputs) -> DataFrame:
     folder = scratch(t, "analysis")
-    pairs = materialize(integrate(t.quotes(), score_articles(t.posts(), _scorer)))
+    pairs = materialize(integrate(t.quotes(), score_articles(t.posts(), SCORER)))
     sections = workflows.correlation_sections(pairs)
     writers.write_analysis(pairs, sections, folder)
     return readers.read_json_doc(
@@ -441,7 +438,7 @@ _LABEL_MEASURES = (
 )
 def base_workflow(t: Inputs) -> DataFrame:
     return _sections(
-        workflows.base_workflow(t.quotes(), t.posts(), _scorer),
+        workflows.base_workflow(t.quotes(), t.posts(), SCORER),
         ("run_summary", None, *_RUN_MEASURES),
         ("pair_label_counts", None, *_LABEL_MEASURES),
         ("top_performers", "stock_symbol", "daily_change_percent", "sentiment_score"),

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewire.functions.labels import lexicon_sentiment
 from quotewire.operators import (
     cleaning,
     feeds,
@@ -33,12 +32,7 @@ def _stock(t: Inputs) -> DataFrame:
 
 
 def _scored(t: Inputs) -> DataFrame:
-    return sentiment.score_articles(t.posts(), _scorer)
-
-
-def _scorer(text: Column) -> Column:
-    s = lexicon_sentiment(text, POSITIVE, NEGATIVE)
-    return F.struct(F.lower(s["label"]).alias("label"), s["score"].alias("score"))
+    return sentiment.score_articles(t.posts(), sentiment.lexicon_scorer(POSITIVE, NEGATIVE))
 
 
 def _series(t: Inputs) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire.functions.labels import NEGATIVE_WORDS, POSITIVE_WORDS
@@ -20,7 +20,7 @@ from quotewire.operators.cleaning import (
 )
 from quotewire.operators.joins import integrate, join_by_date, match_news_or_default
 from quotewire.operators.sentiment import (
-    lexicon_scorer,
+    Scorer,
     score_articles,
     with_lexicon_sentiment,
 )
@@ -63,7 +63,7 @@ def correlation_sections(pairs: DataFrame) -> Tables:
 def base_workflow(
     quotes: DataFrame,
     posts: DataFrame,
-    scorer: Callable[[Column], Column] = lexicon_scorer,
+    scorer: Scorer | None = None,
     skip_sentiment: bool = False,
     quote_order: Sequence[str] = ("timestamp",),
 ) -> Tables:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read on from there.
+    """Write ``df`` once to a new table in the shared folder and read on from there.
 
-    For inputs that several jobs re-read (model fits, multi-output workflows):
-    it survives the loss of executors, which a cache does not.
+    For inputs that several jobs re-read (model fits, multi-output workflows). Unlike a
+    cache it survives the loss of executors, and later jobs read only the columns they
+    need. The tables stay until the folder is cleared.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/quotewire/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,7 +28,11 @@ def event_time(stream: DataFrame, time: str) -> DataFrame:
 def stream_dedup(
     stream: DataFrame, key: Sequence[str], time: str, delay: str = "1 day"
 ) -> DataFrame:
-    """First arrival per key; repeats within the watermark delay are dropped."""
+    """First arrival per key; repeats within the watermark delay are dropped.
+
+    All new rows of a key meet in one task. ``maxFilesPerTrigger`` on the source bounds
+    how many that can be.
+    """
     return (
         event_time(stream, time).withWatermark(time, delay)
         .dropDuplicatesWithinWatermark(list(key))

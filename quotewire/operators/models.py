@@ -51,8 +51,13 @@ def model_frame(series: DataFrame) -> DataFrame:
 
 
 def in_train() -> Column:
-    """Split by a hash of symbol and day: the same row always falls on the same side."""
-    return F.pmod(F.xxhash64(F.lit(SEED), "stock_symbol", "date"), F.lit(100)) < TRAIN_PERCENT
+    """Split by a hash of symbol and day: the same row always falls on the same side.
+
+    MD5, so that the split can be repeated outside Spark.
+    """
+    digest = F.md5(F.concat_ws("|", F.lit(SEED), "stock_symbol", F.date_format("date", "yyyy-MM-dd")))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
+    return place < TRAIN_PERCENT
 
 
 def train_test_split(frame: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -203,18 +203,45 @@ def model_frame(t: Inputs) -> DataFrame:
     )
 
 
-@query("train_test_split")
+_FRAME = f"""
+    SELECT *, CAST('0x' || substr(md5('42|' || stock_symbol || '|' || date), 1, 8) AS BIGINT) % 100 < 80
+        AS in_train FROM series WHERE {_COMPLETE}"""
+
+
+@query(
+    "train_test_split",
+    sql(
+        f"""SELECT stock_symbol, date, CASE WHEN in_train THEN 'train' ELSE 'test' END AS side
+        FROM ({_FRAME})""",
+        "series",
+    ),
+)
 def train_test_split(t: Inputs) -> DataFrame:
-    train, test = models.train_test_split(models.model_frame(_series(t)))
-    sides = train.select(F.lit("train").alias("side")).unionByName(
-        test.select(F.lit("test").alias("side"))
-    )
-    return sides.groupBy("side").agg(F.count("*").alias("rows"))
+    train, test = models.train_test_split(models.model_frame(materialize(_series(t))))
+    return train.withColumn("side", F.lit("train")).unionByName(
+        test.withColumn("side", F.lit("test"))
+    ).select("stock_symbol", "date", "side")
+
+
+_SCALED = ", ".join(
+    f"({c} - avg({c}) FILTER (WHERE in_train) OVER ()) / stddev_samp({c}) FILTER (WHERE in_train) OVER () AS {c}"
+    for c in models.FEATURES
+)
 
 
-@query("scale_features")
+@query(
+    "scale_features",
+    sql(
+        rounded(
+            f"""SELECT stock_symbol, date, {", ".join(models.FEATURES)} FROM (
+                SELECT stock_symbol, date, in_train, {_SCALED} FROM ({_FRAME})) WHERE NOT in_train""",
+            *models.FEATURES,
+        ),
+        "series",
+    ),
+)
 def scale_features(t: Inputs) -> DataFrame:
-    train, test = models.train_test_split(models.model_frame(_series(t)))
+    train, test = models.train_test_split(models.model_frame(materialize(_series(t))))
     _, scaled = models.scale_features(train, test)
     return models.scaled_values(scaled)
 

@@ -34,6 +34,11 @@ CLUSTERS = 4
 ELBOW = range(2, 8)
 
 
+def _in_order(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows placed by their keys: seeded draws go by place, so reruns draw the same rows."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
+
+
 def model_frame(series: DataFrame) -> DataFrame:
     """Rows complete in features and target, plus price_direction.
 
@@ -138,7 +143,7 @@ def scaled_split(series: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     series itself is read twice, for its size and for its rows.
     """
     frame = materialize(model_frame(series))
-    train, test = train_test_split(frame)
+    train, test = train_test_split(_in_order(frame, "stock_symbol", "date"))
     if train.isEmpty() or test.isEmpty():
         return None
     return scale_features(train, test)
@@ -208,14 +213,14 @@ def _best_fit(points: DataFrame, k: int, restarts: int) -> KMeansModel:
 
 def kmeans_elbow(features: DataFrame, ks=ELBOW, restarts: int = 1) -> DataFrame:
     """Inertia for every number of clusters."""
-    points = materialize(scaled_cluster_features(features))
+    points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
     rows = [(k, float(_best_fit(points, k, restarts).summary.trainingCost)) for k in ks]
     return features.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
 def kmeans_symbols(features: DataFrame, k: int = CLUSTERS, restarts: int = 1) -> DataFrame:
     """Cluster features with the cluster of each symbol."""
-    points = materialize(scaled_cluster_features(features))
+    points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
     return _best_fit(points, k, restarts).transform(points).drop("features")
 
 

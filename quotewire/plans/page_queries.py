@@ -255,7 +255,8 @@ def extract_article_marked(t: Inputs) -> DataFrame:
 
 # Headings, bodies and paragraphs of the given pages carry no marker attributes.
 LANDED = pages.ArticleMarkers(title=("h1", None, None), body=("article", None, None))
-_ENTITIES = "replace(replace({0}, '&quot;', '\"'), '&amp;', '&')"
+# The two entities that occur; HTML reads them without the semicolon too, as in a cut title.
+_ENTITIES = "regexp_replace(regexp_replace({0}, '&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
 
 
 def _text_sql(html: str) -> str:

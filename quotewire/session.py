@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,11 +39,18 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local folder only where unset."""
+    """The cluster's ``spark.checkpoint.dir``.
+
+    Where it is unset, a session with a local master gets a folder of its own, and any
+    other session an error: executors would each write to a disk the others cannot see.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="quotewire-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -166,3 +166,19 @@ def test_stream_dedup(spark, tmp_path):
     run()
     land(inbox, "4.json", (5, "A", "2024-01-09T01:00:00Z", 1.0))  # beyond the delay: new again
     assert run() == [("A", 1), ("A", 5), ("B", 3), ("C", 4)]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from quotewire.session import shared_folder
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(conf={"spark.checkpoint.dir": folder}, sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("local-cluster[3,2,1024]"))
+    assert shared_folder(session("yarn", "hdfs:///scratch")) == "hdfs:///scratch"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewire.llm import lang_id
+from quotewire.llm import lang_id, substring
 from quotewire.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
     model = lang_id.train(docs, ~F.col("held_out"))
     return lang_id.predict(docs.drop("lang"), *model)
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )

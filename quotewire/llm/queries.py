@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewire.llm import lang_id, substring
+from quotewire.llm import lang_id, near_dup, packing, substring
 from quotewire.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """The definition of the public word-level BPE, read on the driver."""
+    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+
+
 @query
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select(
@@ -32,9 +39,20 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return lang_id.predict(docs.drop("lang"), *model)
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return near_dup.near_duplicates(docs).select("doc_id", "class_id", "n_copies", "kept")
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), word_bpe())

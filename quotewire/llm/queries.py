@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewire.llm import lang_id, near_dup, packing, substring
+from quotewire.llm import lang_id, near_dup, packing, sharding, substring, topk, vector_dup
 from quotewire.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,20 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(docs).select("doc_id", "class_id", "n_copies", "kept")
 
 
+@query
+def op5_vector_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dup.near_duplicate_vectors(_table(spark, folder, "embeddings"))
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["doc_id", "size", "text_crc32"]
+    placed = sharding.shard(sharding.text_digest(_table(spark, folder, "documents")), columns)
+    return placed.select(
+        *columns, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -56,3 +70,25 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), word_bpe())
+
+
+@query
+def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+# Integer inner products are exact in any engine, so SQL can check the search.
+ORACLE_SQL["op10_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""

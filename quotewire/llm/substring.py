@@ -27,10 +27,6 @@ from quotewire.session import materialize
 
 MIN_WORDS = 35
 GRAM = 8
-#: Lookups of at most this many rows are broadcast, larger ones joined by a shuffle.
-BROADCAST_ROWS = 500_000
-#: Spans are lists; of those at most this many.
-BROADCAST_LISTS = 50_000
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -41,11 +37,6 @@ def text_key() -> dict[str, Column]:
     return {"_f1": F.xxhash64(text), "_f2": F.xxhash64(F.lit(1), text)}
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """A written table, marked for broadcast if it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df
-
-
 class _Windows:
     """Hashes of word sequences, from running sums of polynomials over word hashes."""
 
@@ -149,7 +140,7 @@ def _extended(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             F.collect_list(F.struct("anchor", "context", "at")).alias("wanted")
         )
     )
-    rows = docs.select("_f1", "_f2", "text").join(small(lists, BROADCAST_LISTS), ["_f1", "_f2"])
+    rows = docs.select("_f1", "_f2", "text").join(lists, ["_f1", "_f2"])
     return rows.select("wanted", "text").mapInArrow(
         run, "w1 long, w2 long, anchor long, context long, bit long"
     )
@@ -167,7 +158,7 @@ def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, gram: int = GRAM) ->
     again = materialize(
         found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     )
-    hits = materialize(found.join(small(again, BROADCAST_ROWS), "anchor"))
+    hits = materialize(found.join(again, "anchor"))
     contexts = materialize(
         hits.groupBy("anchor", "context").agg(
             F.count("*").alias("n"), F.first("_f1").alias("_f1"), F.first("_f2").alias("_f2"),
@@ -194,7 +185,7 @@ def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, gram: int = GRAM) ->
         .where("mask <> 0")
     )
     return materialize(
-        hits.join(small(status, BROADCAST_ROWS), ["anchor", "context"])
+        hits.join(status, ["anchor", "context"])
         .groupBy("_f1", "_f2").agg(F.collect_set(F.struct("at", "mask")).alias("spans"))
     )
 
@@ -252,5 +243,5 @@ def remove_repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = GRAM,
 
         return kept
 
-    marked = docs.join(small(spans, BROADCAST_LISTS), ["_f1", "_f2"], "left")
+    marked = docs.join(spans, ["_f1", "_f2"], "left")
     return append_columns(marked, make, FIELDS, keep_text).drop("_f1", "_f2", "spans")

@@ -38,10 +38,7 @@ def corpus(rng, n, alphabet):
 
 
 @pytest.mark.parametrize("seed,size,gram,letters", [(1, 35, 8, 40), (2, 9, 4, 12), (3, 6, 6, 3), (4, 5, 1, 2)])
-@pytest.mark.parametrize("broadcast", [10**6, 0])
-def test_same_as_brute_force(spark, monkeypatch, seed, size, gram, letters, broadcast):
-    monkeypatch.setattr(substring, "BROADCAST_ROWS", broadcast)
-    monkeypatch.setattr(substring, "BROADCAST_LISTS", broadcast)
+def test_same_as_brute_force(spark, seed, size, gram, letters):
     rng = random.Random(seed)
     texts = corpus(rng, 40, [f"w{i}é" for i in range(letters)])
     df = spark.createDataFrame(

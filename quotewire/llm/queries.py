@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewire.llm import lang_id, near_dup, packing, sharding, substring, topk, vector_dup
+from quotewire.llm import (
+    lang_id,
+    near_dup,
+    packing,
+    quality,
+    sharding,
+    substring,
+    topk,
+    toxicity,
+    vector_dup,
+)
 from quotewire.llm.folds import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +55,25 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(docs).select("doc_id", "class_id", "n_copies", "kept")
 
 
+def _scored(spark: SparkSession, folder: str, modulus: int, remainder: int, model, least: float) -> DataFrame:
+    docs = _table(spark, folder, "documents").select(
+        "doc_id", held_out(modulus, remainder).alias("held_out"), "text"
+    )
+    trained = model.train(docs, _table(spark, folder, "labels"), ~F.col("held_out"))
+    trained = trained[0] if model is quality else trained
+    return model.predict(docs, trained).withColumn("predicted", (F.col("score") >= least).cast("int"))
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, 5, 0, quality, 0.3)
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored(spark, folder, 3, 1, toxicity, 0.7)
+
+
 @query
 def op5_vector_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dup.near_duplicate_vectors(_table(spark, folder, "embeddings"))

@@ -56,14 +56,21 @@ class WordHasher:
     """Hashes every word of a column; equal words get equal hashes in every task.
 
     The hash of a word is that of its bytes as a polynomial over random 64-bit codes,
-    modulo 2**64, so all words of a block come from one running sum.
+    modulo 2**64, so all words of a block come from one running sum. With ``letters`` a
+    word is a run of letters only, where all non-ASCII counts as letters, and ASCII
+    capitals equal small ones.
     """
 
-    def __init__(self, block_bytes: int = BLOCK_BYTES):
+    def __init__(self, block_bytes: int = BLOCK_BYTES, letters: bool = False):
         codes = np.random.RandomState(20240607).randint(0, 1 << 62, 256).astype(U64)
         self.codes = codes * U64(4) + U64(3)
         self.space = np.zeros(256, bool)
         self.space[[0x20, *range(0x09, 0x0E)]] = True
+        if letters:
+            small = np.arange(ord("a"), ord("z") + 1)
+            self.codes[small - 32] = self.codes[small]
+            self.space[:128] = True
+            self.space[small] = self.space[small - 32] = False
         self.block_bytes = block_bytes
         self._powers(block_bytes + 1)
 

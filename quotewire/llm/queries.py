@@ -13,6 +13,7 @@ from quotewire.llm import (
     lang_id,
     near_dup,
     packing,
+    pieces,
     quality,
     sharding,
     substring,
@@ -106,6 +107,18 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query
+def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
+    decoded = pieces.decode(pieces.encode(docs, model), model)
+    return decoded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+        F.crc32("decoded").alias("decoded_crc32"),
+        F.crc32("decoded").eqNullSafe(F.col("text_crc32")).alias("lossless"),
+    )
+
+
 # Integer inner products are exact in any engine, so SQL can check the search.
 ORACLE_SQL["op10_top_k"] = """
 WITH v AS (

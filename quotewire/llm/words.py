@@ -140,7 +140,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def append_columns(
     docs, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], fields: list[T.StructField],
-    keep_text: bool = False,
+    keep_text: bool = False, slice_bytes: int = 4 * BLOCK_BYTES,
 ):
     """``docs`` with columns computed from whole texts, a bounded slice of rows at a time.
 
@@ -155,7 +155,7 @@ def append_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", slice_bytes):
                 yield pa.record_batch([*[part[c] for c in kept], *columns(part)], names=names)
 
     needed = dict.fromkeys([*kept, *[c for c in docs.columns if c not in new or c == "text"]])

@@ -36,15 +36,18 @@ _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 
-# A comment, a declaration, a script or style with its content, or a tag.
+# A comment, a declaration, a script or style with its content, or a tag. Quotes matter only
+# as the first character of an attribute's value. What the page cuts short reaches to its
+# end, so no character is looked at again for each tag that does not close.
 _MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    | <[!?][^>]*+>
-    | <(?P<raw>script|style)\b[^>]*+>.*?(?:</(?P=raw)\b[^>]*+>|\Z)
-    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
+    | <[!?][^>]*+(?:>|\Z)
+    | <(?P<raw>script|style)\b[^>]*+(?:>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)|\Z)
+    | <(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)
+        (?P<attrs>(?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+)?+)*+)(?P<closed>>?)""",
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )
-_ATTR = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++)))?""")
+_ATTR = re.compile(r"""([^\s>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
 
 
 class _NodeTable:
@@ -87,7 +90,7 @@ class _NodeTable:
         for match in _MARKUP.finditer(html):
             add_text(match.start())
             done = match.end()
-            if match["tag"] is None:
+            if not match["closed"]:  # no tag, or one that the page's end cuts off
                 continue
             tag = match["tag"].lower()
             if match["end"]:

@@ -73,7 +73,8 @@ def clean_quotes(quotes: DataFrame) -> DataFrame:
     """Quotes with a symbol and a numeric price.
 
     Aliases are looked for only where none of the standard names is there. The
-    time column, where present, is kept and must parse; else time and date are NULL.
+    time column, where present, is kept and must parse; else time and date are NULL. A
+    change that is no number is NULL.
     """
     names = [c for c in QUOTE_ALIASES if c in quotes.columns]
     if names:
@@ -87,7 +88,7 @@ def clean_quotes(quotes: DataFrame) -> DataFrame:
     timed = "created_iso" in named.columns
     time = to_timestamp_coerce(F.col("created_iso")) if timed else F.lit(None).cast("timestamp")
     volume = F.col("volume").cast("string") if "volume" in names else F.lit(None).cast("string")
-    change = F.col("change_percent").cast("double") if "change_percent" in names else F.lit(0.0)
+    change = to_numeric_coerce(F.col("change_percent")) if "change_percent" in names else F.lit(0.0)
     cleaned = named.where(not_null("symbol", "price")).select(
         "symbol",
         *(["name"] if "name" in names else []),

@@ -11,6 +11,7 @@ from quotewire.functions.dates import now_utc
 from quotewire.functions.symbols import base_symbol
 from quotewire.operators.keyed import lookup_join, not_null, pick_first, pick_last
 from quotewire.operators.summaries import daily_news, daily_stock
+from quotewire.session import materialize
 
 
 def join_by_date(news: DataFrame, stock: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def integrate(
     ).where(not_null("stock_symbol"))
     latest = pick_last(known, ["stock_symbol"], [f"_o{i}" for i in range(len(order))])
     stamp = now_utc() if as_of is None else as_of
-    return lookup_join(mentions, latest, "stock_symbol", spread=["news_id"]).select(
+    return lookup_join(mentions, latest, "stock_symbol").select(
         "news_id", "stock_symbol", "stock_name", "current_price", "daily_change_percent",
         "market_cap", "volume", "news_headline", "news_url", "news_sentiment",
         "sentiment_score", "published_at", stamp.alias("analysis_timestamp"),
@@ -84,29 +85,21 @@ def _dated(matched: DataFrame) -> DataFrame:
     )
 
 
-def match_news(
-    news: DataFrame, quotes: DataFrame, order: Sequence[str], spread: Sequence[str]
-) -> DataFrame:
+def match_news(news: DataFrame, quotes: DataFrame, order: Sequence[str]) -> DataFrame:
     """News with the return of the first quote of its symbol. Not a join on time: the
     quote takes the article's date."""
     keyed = news.withColumn("symbol", F.upper("matched_symbol"))
-    return _dated(lookup_join(keyed, _first_returns(quotes, order), "symbol", spread))
+    return _dated(lookup_join(keyed, _first_returns(quotes, order), "symbol"))
 
 
-def match_news_or_default(
-    news: DataFrame, quotes: DataFrame, order: Sequence[str], spread: Sequence[str]
-) -> DataFrame:
+def match_news_or_default(news: DataFrame, quotes: DataFrame, order: Sequence[str]) -> DataFrame:
     """Like :func:`match_news`, but where no article at all has a quote, every article
-    is kept with return 0 and volume 0."""
+    is kept with return 0 and volume 0. The joined articles are written once and read
+    twice, for the number of hits and for the rows."""
     keyed = news.withColumn("symbol", F.upper("matched_symbol"))
-    returns = _first_returns(quotes, order)
-    matches = (
-        keyed.select("symbol").distinct().join(returns, "symbol", "left_semi").agg(F.count("*"))
-    )
-    joined = lookup_join(
-        keyed, returns.withColumn("_hit", F.lit(True)), "symbol", spread, how="left"
-    )
-    none_found = matches.scalar() == 0
+    returns = _first_returns(quotes, order).withColumn("_hit", F.lit(True))
+    joined = materialize(lookup_join(keyed, returns, "symbol", how="left"))
+    none_found = joined.agg(F.count("_hit")).scalar() == 0
     return _dated(
         joined.where(F.col("_hit").isNotNull() | none_found)
         .withColumn("daily_return", F.coalesce("daily_return", F.lit(0.0)))

@@ -17,12 +17,14 @@ def not_null(*columns: str) -> Column:
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], chooser) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    chosen = chooser(F.struct(*rest), F.struct(*order)).alias("_row")
+    # Rows that are equal in `order` are told apart by what they hold, whatever their place.
+    ranked = F.struct(*order, F.xxhash64(*rest))
+    chosen = chooser(F.struct(*rest), ranked).alias("_row")
     return df.groupBy(*keys).agg(chosen).select(*keys, "_row.*").select(*df.columns)
 
 
 def pick_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key by ``order``.
+    """First row per key by ``order``, ties by a hash of the row.
 
     An aggregate, not a window: rows are reduced before the shuffle, so a hot key
     sends one row per task.
@@ -36,20 +38,19 @@ def pick_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str | Sequence[str],
-    spread: Sequence[str],
-    how: str = "inner",
-    salts: int = 16,
+    facts: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Equi-join of many ``facts`` to a ``lookup`` that has one row per key.
 
-    Spark broadcasts the lookup when its size allows. When it does not, the rows
-    of one key are spread over ``salts`` join keys by a hash of the ``spread``
-    columns, and every lookup row is repeated once per salt.
+    Spark broadcasts the lookup when its size allows. When it does not, both sides are
+    shuffled and AQE splits the partition of a hot key over several tasks. It does so only
+    where both sides come straight from a shuffle, so the key is wrapped: a lookup that was
+    grouped by the key would else be joined where it lies.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    left = facts.withColumn("_key", F.struct(*keys))
+    right = lookup.withColumn("_key", F.struct(*keys)).drop(*keys)
+    joined = left.where(not_null(*keys)) if how == "inner" else left
+    columns = [*keys, *[c for c in facts.columns if c not in keys],
+               *[c for c in lookup.columns if c not in keys]]
+    return joined.join(right, "_key", how).select(*columns)

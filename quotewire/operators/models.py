@@ -32,6 +32,11 @@ SEED = 42
 CLUSTER_FEATURES = ("sentiment_score", "daily_change_percent", "news_count")
 CLUSTERS = 4
 ELBOW = range(2, 8)
+RESTARTS = 10
+ITERATIONS = 300
+#: MLlib's greatest depth, for forests without a limit of their own. The driver holds the
+#: trees: a tree has at most twice as many nodes as there are training rows.
+DEPTH = 30
 
 
 def _in_order(df: DataFrame, *keys: str) -> DataFrame:
@@ -83,16 +88,16 @@ def scale_features(train: DataFrame, other: DataFrame) -> tuple[DataFrame, DataF
     return scaler.transform(train), scaler.transform(other)
 
 
-def direction_forest(trees: int = TREES, depth: int = 5) -> RandomForestClassifier:
+def direction_forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol="price_direction", numTrees=trees, maxDepth=depth, seed=SEED,
         predictionCol="predicted_direction",
     )
 
 
-def magnitude_forest(trees: int = TREES, depth: int = 5) -> RandomForestRegressor:
+def magnitude_forest(trees: int = TREES, depth: int = DEPTH) -> RandomForestRegressor:
     return RandomForestRegressor(
-        labelCol=TARGET, numTrees=trees, maxDepth=depth, seed=SEED,
+        labelCol=TARGET, numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all",
         predictionCol="predicted_change",
     )
 
@@ -106,7 +111,7 @@ class Forest:
     score: float
 
 
-def predict_direction(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = 5) -> Forest:
+def predict_direction(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Forest:
     """Forest for rise or not; the score is its accuracy."""
     model = direction_forest(trees, depth).fit(train)
     scored = model.transform(test)
@@ -116,7 +121,7 @@ def predict_direction(train: DataFrame, test: DataFrame, trees: int = TREES, dep
     return Forest(model, scored, accuracy)
 
 
-def predict_magnitude(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = 5) -> Forest:
+def predict_magnitude(train: DataFrame, test: DataFrame, trees: int = TREES, depth: int = DEPTH) -> Forest:
     """Forest for the size of the move; the score is its mean squared error."""
     model = magnitude_forest(trees, depth).fit(train)
     scored = model.transform(test)
@@ -150,7 +155,7 @@ def scaled_split(series: DataFrame) -> tuple[DataFrame, DataFrame] | None:
 
 
 def build_prediction_models(
-    series: DataFrame, trees: int = TREES, depth: int = 5
+    series: DataFrame, trees: int = TREES, depth: int = DEPTH
 ) -> ForestModels | None:
     """Fit and evaluate both forests; None where there is too little data."""
     split = scaled_split(series)
@@ -206,19 +211,20 @@ def scaled_cluster_features(features: DataFrame) -> DataFrame:
 
 def _best_fit(points: DataFrame, k: int, restarts: int) -> KMeansModel:
     fits = [
-        KMeans(k=k, seed=SEED + i, predictionCol="cluster").fit(points) for i in range(restarts)
+        KMeans(k=k, seed=SEED + i, maxIter=ITERATIONS, predictionCol="cluster").fit(points)
+        for i in range(restarts)
     ]
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def kmeans_elbow(features: DataFrame, ks=ELBOW, restarts: int = 1) -> DataFrame:
+def kmeans_elbow(features: DataFrame, ks=ELBOW, restarts: int = RESTARTS) -> DataFrame:
     """Inertia for every number of clusters."""
     points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
     rows = [(k, float(_best_fit(points, k, restarts).summary.trainingCost)) for k in ks]
     return features.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
-def kmeans_symbols(features: DataFrame, k: int = CLUSTERS, restarts: int = 1) -> DataFrame:
+def kmeans_symbols(features: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
     """Cluster features with the cluster of each symbol."""
     points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
     return _best_fit(points, k, restarts).transform(points).drop("features")

@@ -285,9 +285,9 @@ def build_posts(
     created = F.coalesce("publish_date_utc", F.unix_seconds(fetched))
     article = pick_last(
         articles.select("url", "author", "publish_date_utc", "body"),
-        ["url"], ["publish_date_utc", "body"],
+        ["url"], ["publish_date_utc"],
     )
-    joined = lookup_join(stories, article, "url", spread=["headline"], how="left")
+    joined = lookup_join(stories, article, "url", how="left")
     return joined.select(
         F.sha2("url", 256).alias("post_id"),
         created.alias("created_utc"),

@@ -1,9 +1,10 @@
 """Exact quantiles that never hold a group in one task.
 
 Spark's ``percentile`` keeps all distinct values of a group in one buffer. Here equal
-values are counted first, each group is cut into equal-width cells, and only the
-cells in which a wanted rank falls are cut again. What is left to order in one place
-is the content of a cell of a cell.
+values are counted first, each group is cut into cells of equal width in the logarithm of
+the value, and only the cells in which a wanted rank falls are cut again, until each holds
+few enough values to be put in order in one place. Cells follow the logarithm because
+prices, volumes and market values spread over many powers of ten.
 """
 
 from __future__ import annotations
@@ -15,14 +16,26 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quotewire.operators.keyed import lookup_join, not_null
+from quotewire.session import materialize
 
 CELLS = 4096
-LEVELS = 2
+#: Values of a cell that are put in order in one task; larger cells are cut again.
+ORDERED = 4096
 QUARTILES = (0.25, 0.5, 0.75)
 
 
+def _scale(v: Column) -> Column:
+    """Rises with v, as its logarithm does on either side of zero (doubles end at e**-745)."""
+    return F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.ln(F.abs(v)) + 746))
+
+
 def _cell(cells: int) -> Column:
-    place = F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low"))
+    """By the logarithm; by the value itself once its ends have equal logarithms."""
+    low, high, v = (_scale(F.col(c)) for c in ("_low", "_high", "_v"))
+    place = F.coalesce(
+        F.try_divide(v - low, high - low),
+        F.try_divide(F.col("_v") - F.col("_low"), F.col("_high") - F.col("_low")),
+    )
     return F.least(F.lit(cells - 1), F.floor(F.coalesce(place, F.lit(0.0)) * cells).cast("int"))
 
 
@@ -50,19 +63,30 @@ def quantiles(
     probabilities: Sequence[float] = QUARTILES,
     by: Sequence[str] = (),
     cells: int = CELLS,
-    levels: int = LEVELS,
+    ordered: int = ORDERED,
 ) -> DataFrame:
     """Rows (by..., probability, quantile), linear between neighbouring values.
 
-    NULL values are ignored; a group without values has no rows.
+    NULL values are ignored; a group without values has no rows. The input is read once;
+    counted values and, from then on, the cells still in question are written out.
     """
-    slots = [*by, "_slot"]
-    values = (
+    return _quantiles(counted(df, value, by), probabilities, by, cells, ordered)
+
+
+def counted(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Rows (by..., _v, _n): how often each value occurs, in a written table."""
+    return materialize(
         df.where(not_null(value, *by))
-        .groupBy(*by, F.lit(0).cast("long").alias("_slot"), F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
     )
 
+
+def _quantiles(
+    values: DataFrame, probabilities: Sequence[float], by: Sequence[str], cells: int, ordered: int
+) -> DataFrame:
+    slots = [*by, "_slot"]
+    values = values.withColumn("_slot", F.lit(0).cast("long"))
+
     def attach(rows: DataFrame, ranges: DataFrame, columns: list[str], whole: bool) -> DataFrame:
         if whole:  # one range, for every row
             only = ranges.select(F.struct(*columns)).scalar()
@@ -70,7 +94,7 @@ def quantiles(
         info = ranges.select(*slots, *columns)
         if not by:  # at most two ranges per probability
             return rows.join(F.broadcast(info), slots)
-        return lookup_join(rows, info, slots, spread=["_n"] + (["_v"] if "_v" in rows.columns else []))
+        return lookup_join(rows, info, slots)
 
     ranges = values.groupBy(*slots).agg(
         F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_total")
@@ -79,7 +103,7 @@ def quantiles(
         _wanted(probabilities).alias("_wanted"),
     )
     whole = not by
-    for _ in range(levels):
+    while values.groupBy(*slots).agg(F.count("*").alias("_n")).where(F.col("_n") > ordered).limit(1).count():
         celled = attach(values, ranges, ["_low", "_high"], whole).withColumn("_cell", _cell(cells))
         parts = celled.groupBy(*slots, "_cell").agg(
             F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.sum("_n").alias("_n")
@@ -87,15 +111,17 @@ def quantiles(
         # at most `cells` rows per slot
         earlier = W.partitionBy(*slots).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
         first = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-        inner = (F.col("_slot") * cells + F.col("_cell")).alias("_slot")
-        ranges = (
+        inner = F.xxhash64("_slot", "_cell").alias("_slot")
+        ranges = materialize(
             attach(parts, ranges, ["_before", "_wanted"], whole)
             .withColumn("_before", first)
             .withColumn("_wanted", _hits(F.col("_before"), F.col("_n")))
             .where(F.size("_wanted") > 0)
             .select(*by, inner, "_low", "_high", "_before", "_wanted")
         )
-        values = celled.select(*by, inner, "_v", "_n")
+        values = materialize(
+            attach(celled.select(*by, inner, "_v", "_n"), ranges, [], False)
+        )
         whole = False
 
     earlier = W.partitionBy(*slots).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
@@ -111,13 +137,14 @@ def quantiles(
 
 def box(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """Box-plot row (per group): n, minimum, q1, median, q3, maximum."""
-    q = quantiles(df, value, QUARTILES, by)
+    values = counted(df, value, by)
+    q = _quantiles(values, QUARTILES, by, CELLS, ORDERED)
     quartiles = q.groupBy(*by).agg(*[
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
         for p, name in zip(QUARTILES, ("q1", "median", "q3"))
     ])
-    ends = df.where(not_null(value, *by)).groupBy(*by).agg(
-        F.count("*").alias("n"), F.min(value).alias("minimum"), F.max(value).alias("maximum")
+    ends = values.groupBy(*by).agg(
+        F.sum("_n").alias("n"), F.min("_v").alias("minimum"), F.max("_v").alias("maximum")
     )
     names = ["n", "minimum", "q1", "median", "q3", "maximum"]
     if by:

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from quotewire.operators.keyed import not_null, pick_first
 
 
+# Spark cuts groups before the shuffle for limits up to this one.
+SPARK_GROUP_LIMIT = 1000
+GROUP_PARTS = 64
+
+
 def _both_ends(df: DataFrame, by: str, key: str, n: int, high: str, low: str) -> DataFrame:
     ranked = df.where(not_null(by))
     top = ranked.orderBy(F.desc(by), key).limit(n).withColumn("side", F.lit(high))
@@ -42,9 +47,19 @@ def top_mentioned_stocks(pairs: DataFrame, n: int = 10) -> DataFrame:
 
 
 def limit_per_group(df: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows of every group; each task cuts its groups before the shuffle."""
-    rank = F.row_number().over(W.partitionBy(group).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    """First ``n`` rows of every group; each task cuts its groups before the shuffle.
+
+    Spark does so by itself up to a limit. Beyond it, groups are cut in ``GROUP_PARTS``
+    parts first, by a hash of the row, so a hot group is ranked in as many tasks.
+    """
+    def cut(rows: DataFrame, *by: str) -> DataFrame:
+        rank = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+    if n > SPARK_GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(GROUP_PARTS))
+        df = cut(df.withColumn("_part", part), group, "_part").drop("_part")
+    return cut(df, group)
 
 
 def limit_total(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

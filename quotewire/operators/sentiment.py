@@ -26,6 +26,7 @@ BatchScorer = Callable[[pd.Series], pd.DataFrame]
 ScorerLoader = Callable[[], BatchScorer]
 Scorer = Callable[[Column], Column]
 
+MIN_BATCH = 20
 TEXT_COLUMNS = ("text_raw", "clean_text", "headline")
 
 
@@ -40,28 +41,36 @@ def with_lexicon_sentiment(
     )
 
 
-def model_scorer(load: ScorerLoader) -> Scorer:
+def model_scorer(load: ScorerLoader, max_failed: float = 0.5) -> Scorer:
     """Column function for a model: loaded once per worker, fed in Arrow batches.
 
     A row whose scoring fails becomes neutral 0.0; a failing batch is scored row by
-    row to find it.
+    row to find it. A batch of ``MIN_BATCH`` texts or more of which over ``max_failed``
+    fail is an error: the model is broken, not a text.
     """
 
     def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = load()
 
-        def one(text: str) -> pd.DataFrame:
+        def one(text: str) -> pd.DataFrame | Exception:
             try:
                 return scorer(pd.Series([text]))
-            except Exception:  # the model is foreign code: any failure means "neutral"
-                return pd.DataFrame({"label": ["neutral"], "score": [0.0]})
+            except Exception as error:  # the model is foreign code: any failure means "neutral"
+                return error
 
         for texts in batches:
             texts = texts.reset_index(drop=True)
             try:
                 scored = scorer(texts)
             except Exception:
-                scored = pd.concat([one(t) for t in texts], ignore_index=True)
+                found = [one(t) for t in texts]
+                errors = [f for f in found if isinstance(f, Exception)]
+                if len(texts) >= MIN_BATCH and len(errors) > max_failed * len(texts):
+                    raise RuntimeError(f"{len(errors)} of {len(texts)} texts failed") from errors[-1]
+                neutral = pd.DataFrame({"label": ["neutral"], "score": [0.0]})
+                scored = pd.concat(
+                    [neutral if isinstance(f, Exception) else f for f in found], ignore_index=True
+                )
             yield scored[["label", "score"]]
 
     # functions defined under postponed annotations need resolved types here

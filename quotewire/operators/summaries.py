@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quotewire.functions.dates import time_period
 from quotewire.functions.labels import sentiment_level, sentiment_type
-from quotewire.operators.keyed import lookup_join, not_null
+from quotewire.operators.keyed import not_null
 
 PAIR_ORDER = ("published_at", "news_id")
 
@@ -250,15 +250,17 @@ def event_impact(matched: DataFrame) -> DataFrame:
 
 
 def news_volume(matched: DataFrame, volume: str = "total_volume") -> DataFrame:
-    """Articles per symbol and day next to each distinct volume and return that day."""
+    """Articles per symbol and day next to each distinct volume and return that day.
+
+    Articles are counted by volume and return in one pass; the sum per day runs over
+    those counts, a row for each value there was that day.
+    """
     days = ["symbol", "news_date"]
-    counts = _by(matched, *days).agg(F.count("*").alias("daily_news_count"))
-    rows = (
-        matched.where(not_null(*days))
-        .select(*days, F.col(volume).alias("total_volume"), "daily_return").distinct()
-    )
-    return lookup_join(rows, counts, days, spread=["total_volume", "daily_return"]).select(
-        *days, "daily_news_count", "total_volume", "daily_return"
+    known = matched.where(not_null(*days)).withColumn("total_volume", F.col(volume))
+    counts = known.groupBy(*days, "total_volume", "daily_return").agg(F.count("*").alias("_n"))
+    return counts.select(
+        *days, F.sum("_n").over(W.partitionBy(*days)).alias("daily_news_count"),
+        "total_volume", "daily_return",
     )
 
 

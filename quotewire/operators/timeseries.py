@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quotewire.functions.dates import to_timestamp_coerce
 from quotewire.functions.symbols import sector_of
 from quotewire.operators.keyed import not_null
 from quotewire.operators.summaries import PAIR_ORDER, ordered_last
@@ -24,6 +25,11 @@ MIN_DAYS = 5
 STRONG_SENTIMENT = 0.3
 
 
+def _utc_day(column: str) -> Column:
+    """UTC day of a written time; NULL where the text is none, the empty text included."""
+    return F.to_date(to_timestamp_coerce(F.col(column)))
+
+
 def _by_day() -> WindowSpec:
     return W.partitionBy("stock_symbol").orderBy("date")
 
@@ -31,7 +37,7 @@ def _by_day() -> WindowSpec:
 def daily_symbol(pairs: DataFrame, order: Sequence[str] = PAIR_ORDER) -> DataFrame:
     """Mean score and change, last price and volume, and article count per day."""
     return (
-        pairs.withColumn("date", F.to_date("published_at"))
+        pairs.withColumn("date", _utc_day("published_at"))
         .where(not_null("stock_symbol", "date"))
         .groupBy("stock_symbol", "date")
         .agg(
@@ -81,11 +87,7 @@ def market_daily(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
         F.avg("price_change_1d").alias("price_change_1d"),
         F.sum("news_count").alias("news_count"),
     )
-    # the window spans the days, not the rows they sum up
-    return (
-        days.withColumn("_days", F.count("*").over(W.partitionBy()))
-        .where(F.col("_days") >= min_days).drop("_days")
-    )
+    return days.where(series.agg(F.count_distinct("date")).scalar() >= min_days)
 
 
 def symbol_recent(
@@ -103,15 +105,14 @@ def symbol_recent(
 
 def sector_daily(pairs: DataFrame) -> DataFrame:
     """Mean score per sector and day; nothing for fewer than two sectors."""
-    placed = pairs.where(not_null("stock_symbol", "published_at")).select(
+    placed = pairs.where(not_null("stock_symbol")).select(
         sector_of(F.col("stock_symbol")).alias("sector"),
-        F.to_date("published_at").alias("date"),
+        _utc_day("published_at").alias("date"),
         "sentiment_score",
     )
-    daily = placed.groupBy("sector", "date").agg(F.avg("sentiment_score").alias("sentiment_score"))
-    # over one row per sector and day; the set holds the few sectors there are
-    sectors = F.size(F.collect_set("sector").over(W.partitionBy()))
-    return daily.withColumn("_sectors", sectors).where("_sectors >= 2").drop("_sectors")
+    daily = placed.where(not_null("date")).groupBy("sector", "date").agg(F.avg("sentiment_score").alias("sentiment_score"))
+    ends = daily.agg((F.min("sector") < F.max("sector")).alias("several"))
+    return daily.where(ends.scalar())
 
 
 def sector_heatmap(pairs: DataFrame, dates: Sequence[str]) -> DataFrame:

@@ -74,7 +74,23 @@ def write_json(t: Inputs) -> DataFrame:
     path = scratch(t, "posts")
     posts = t.posts().select(*_POST_COLUMNS.split(", "))
     writers.write_json(posts, path)
-    return readers.read_json_doc(t.spark, path, posts.schema)
+    return readers.read_json_doc(t.spark, path, posts.schema, multi_line=False)
+
+
+@query("read_json_doc", sql("SELECT post_id, author, headline FROM posts", "posts"))
+def read_json_doc(t: Inputs) -> DataFrame:
+    """Indented documents, each a list of posts in a file of its own."""
+    path = scratch(t, "documents")
+    post = F.struct("post_id", "author", "headline")
+    listed = t.posts().groupBy((F.col("post_id").cast("long") % 7).alias("file")).agg(
+        F.to_json(F.collect_list(post), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")
+    )
+    listed.write.partitionBy("file").text(path)
+    return readers.read_json_doc(t.spark, f"{path}/file=*", post_schema())
+
+
+def post_schema() -> T.StructType:
+    return struct_of(post_id=T.StringType(), author=T.StringType(), headline=T.StringType())
 
 
 SNAPSHOT_ROW = struct_of(
@@ -145,7 +161,7 @@ def write_stocks(t: Inputs) -> DataFrame:
     folder = scratch(t, "stocks")
     writers.write_stocks(t.part_quotes(), folder)
     schema = T.StructType.fromDDL("symbol string, name string, change_percent double, side string")
-    return readers.read_json_doc(t.spark, f"{folder}/top_movers", schema)
+    return readers.read_json_doc(t.spark, f"{folder}/top_movers", schema, multi_line=False)
 
 
 @query("write_news", sql("SELECT post_id, 0 AS chunk_idx, text_raw AS clean_text FROM posts", "posts"))
@@ -154,7 +170,7 @@ def write_news(t: Inputs) -> DataFrame:
     posts = t.posts()
     writers.write_news(posts, build_chunks(posts, SITE), folder)
     schema = T.StructType.fromDDL("post_id string, chunk_idx int, clean_text string")
-    return readers.read_json_doc(t.spark, f"{folder}/chunks", schema)
+    return readers.read_json_doc(t.spark, f"{folder}/chunks", schema, multi_line=False)
 
 
 @query("write_analysis", sql(PAIR_LABEL_COUNTS.format("post_pairs"), "post_pairs"))
@@ -164,7 +180,8 @@ def write_analysis(t: Inputs) -> DataFrame:
     sections = workflows.correlation_sections(pairs)
     writers.write_analysis(pairs, sections, folder)
     return readers.read_json_doc(
-        t.spark, f"{folder}/correlations/pair_label_counts", sections["pair_label_counts"].schema
+        t.spark, f"{folder}/correlations/pair_label_counts", sections["pair_label_counts"].schema,
+        multi_line=False,
     )
 
 
@@ -280,6 +297,131 @@ def cluster_profile(t: Inputs) -> DataFrame:
     return models.cluster_profile(models.kmeans_symbols(summaries.cluster_features(t.pairs())))
 
 
+# --- models of frames whose answer is known ----------------------------------------------
+
+
+def _told_series(t: Inputs) -> DataFrame:
+    """One feature settles the next move; all others are constant."""
+    k = F.col("p_partkey")
+    told = F.pmod(k, F.lit(7))
+    constants = {c: F.lit(0.5) for c in models.FEATURES if c not in ("sentiment_lag_1", "news_count")}
+    return t.table("part").select(
+        F.concat(F.lit("P"), F.pmod(k, F.lit(50))).alias("stock_symbol"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.floor(k / 50).cast("int")).alias("date"),
+        ((told - 3) / 4).alias("sentiment_lag_1"),
+        *[c.alias(name) for name, c in constants.items()],
+        F.lit(3).cast("long").alias("news_count"),
+        F.when(told > 3, 0.02).otherwise(-0.01).alias(models.TARGET),
+    )
+
+
+_TOLD = """
+    SELECT * FROM (
+        SELECT *, CAST('0x' || substr(md5('42|' || stock_symbol || '|' || date), 1, 8) AS BIGINT) % 100 < 80
+            AS in_train FROM (
+            SELECT 'P' || (p_partkey % 50) AS stock_symbol, p_partkey % 7 > 3 AS up,
+                strftime(DATE '2024-01-01' + CAST(p_partkey // 50 AS INTEGER), '%Y-%m-%d') AS date FROM part))
+    WHERE NOT in_train"""
+
+
+@query(
+    "predict_direction_told",
+    f"""SELECT stock_symbol, date, CAST(up AS BIGINT) AS price_direction,
+        CAST(up AS DOUBLE) AS predicted_direction FROM ({_TOLD})""",
+)
+def predict_direction_told(t: Inputs) -> DataFrame:
+    forest = models.predict_direction(*models.scaled_split(_told_series(t)))
+    return forest.predictions.select("stock_symbol", "date", "price_direction", "predicted_direction")
+
+
+@query(
+    "predict_magnitude_told",
+    rounded(
+        f"""SELECT stock_symbol, date, CASE WHEN up THEN 0.02 ELSE -0.01 END::DOUBLE AS price_change_1d,
+            CASE WHEN up THEN 0.02 ELSE -0.01 END::DOUBLE AS predicted_change FROM ({_TOLD})""",
+        "price_change_1d", "predicted_change",
+    ),
+)
+def predict_magnitude_told(t: Inputs) -> DataFrame:
+    forest = models.predict_magnitude(*models.scaled_split(_told_series(t)))
+    return forest.predictions.select("stock_symbol", "date", "price_change_1d", "predicted_change")
+
+
+@query(
+    "feature_importance_told",
+    f"""SELECT unnest({list(models.FEATURES)}) AS feature,
+        unnest({[float(c == "sentiment_lag_1") for c in models.FEATURES]})::DOUBLE AS importance_classification,
+        unnest({[float(c == "sentiment_lag_1") for c in models.FEATURES]})::DOUBLE AS importance_regression
+    WHERE (SELECT count(*) FROM part) >= 100""",
+)
+def feature_importance_told(t: Inputs) -> DataFrame:
+    return models.build_prediction_models(_told_series(t)).feature_importance
+
+
+def _banded_features(t: Inputs) -> DataFrame:
+    """Symbols in four bands that lie far apart."""
+    k = F.col("p_partkey")
+    band = F.pmod(k, F.lit(4))
+    step = F.pmod(F.floor(k / 4), F.lit(5))
+    return t.table("part").select(
+        F.concat(F.lit("P"), k).alias("stock_symbol"),
+        (F.when(band % 2 == 0, -1.0).otherwise(1.0) + step / 1024).alias("sentiment_score"),
+        (F.when(band < 2, -5.0).otherwise(5.0) + step / 256).alias("daily_change_percent"),
+        F.when(band.isin(0, 3), 10).otherwise(90).cast("long").alias("news_count"),
+        F.lit(1.0).alias("current_price"),
+    )
+
+
+_BANDED = """
+    SELECT p_partkey % 4 AS band, 'P' || p_partkey AS stock_symbol,
+        CASE WHEN p_partkey % 2 = 0 THEN -1.0 ELSE 1.0 END::DOUBLE + p_partkey // 4 % 5 / 1024 AS sentiment_score,
+        CASE WHEN p_partkey % 4 < 2 THEN -5.0 ELSE 5.0 END::DOUBLE + p_partkey // 4 % 5 / 256 AS daily_change_percent,
+        CAST(CASE WHEN p_partkey % 4 IN (0, 3) THEN 10 ELSE 90 END AS BIGINT) AS news_count FROM part"""
+_BANDED_Z = ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(models.CLUSTER_FEATURES)
+)
+
+
+@query(
+    "kmeans_symbols_bands",
+    f"SELECT stock_symbol, min(stock_symbol) OVER (PARTITION BY band) AS first_member FROM ({_BANDED})",
+)
+def kmeans_symbols_bands(t: Inputs) -> DataFrame:
+    found = models.kmeans_symbols(_banded_features(t)).select("stock_symbol", "cluster")
+    first = found.groupBy("cluster").agg(F.min("stock_symbol").alias("first_member"))
+    return found.join(first, "cluster").drop("cluster")
+
+
+_PROFILE = ("avg_sentiment", "avg_performance", "avg_news_count")
+
+
+@query(
+    "cluster_profile_bands",
+    rounded(
+        f"""SELECT count(*) AS count, avg(sentiment_score) AS avg_sentiment,
+            avg(daily_change_percent) AS avg_performance, avg(news_count) AS avg_news_count
+        FROM ({_BANDED}) GROUP BY band""",
+        *_PROFILE,
+    ),
+)
+def cluster_profile_bands(t: Inputs) -> DataFrame:
+    return models.cluster_profile(models.kmeans_symbols(_banded_features(t))).drop("cluster")
+
+
+@query(
+    "kmeans_elbow_bands",
+    rounded(
+        f"""SELECT 4 AS k, sum((z0 - m0) ** 2 + (z1 - m1) ** 2 + (z2 - m2) ** 2) AS inertia FROM (
+            SELECT z0, z1, z2, avg(z0) OVER (PARTITION BY band) AS m0, avg(z1) OVER (PARTITION BY band) AS m1,
+                avg(z2) OVER (PARTITION BY band) AS m2 FROM (SELECT band, {_BANDED_Z} FROM ({_BANDED})))""",
+        "inertia",
+    ),
+)
+def kmeans_elbow_bands(t: Inputs) -> DataFrame:
+    """The inertia at the right number of clusters, which has a closed form."""
+    return models.kmeans_elbow(_banded_features(t), ks=(models.CLUSTERS,))
+
+
 _FINDINGS = f"""
     SELECT count(DISTINCT stock_symbol) AS stocks, count(*) AS articles,
         (SELECT round(covar_pop(s, d) / nullif(stddev_pop(s) * stddev_pop(d), 0), 4) FROM (
@@ -518,7 +660,7 @@ def _of_matched(body: str) -> str:
 def correlation_report(t: Inputs) -> DataFrame:
     quotes = t.quotes().withColumn("created_iso", F.lit("2024-01-02"))
     tables = workflows.correlation_report(
-        t.posts(), quotes, ["name"], ["post_id"], {"positive": POSITIVE, "negative": NEGATIVE}
+        t.posts(), quotes, ["name"], {"positive": POSITIVE, "negative": NEGATIVE}
     )
     days = tables["volume_analysis"]
     tables["volume_analysis"] = days.withColumn(

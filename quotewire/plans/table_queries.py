@@ -572,7 +572,7 @@ _MATCH_DOUBLES = ("sentiment_score", "daily_return", "total_volume")
 )
 def match_news(t: Inputs) -> DataFrame:
     news, quotes = _article_returns(t)
-    return joins.match_news(news, quotes, order=["name"], spread=["post_id"])
+    return joins.match_news(news, quotes, order=["name"])
 
 
 @query(
@@ -585,7 +585,7 @@ def match_news(t: Inputs) -> DataFrame:
 def match_news_or_default(t: Inputs) -> DataFrame:
     news, quotes = _article_returns(t)
     unknown = quotes.withColumn("symbol", F.concat(F.lit("X"), "symbol"))
-    return joins.match_news_or_default(news, unknown, order=["name"], spread=["post_id"])
+    return joins.match_news_or_default(news, unknown, order=["name"])
 
 
 SENTIMENT_RETURN = """

@@ -162,19 +162,17 @@ def correlation_report(
     articles: DataFrame,
     quotes: DataFrame,
     quote_order: Sequence[str],
-    spread: Sequence[str],
     words: Mapping[str, Sequence[str]] | None = None,
 ) -> Tables:
     """Clean both sides, score by word lists, match by symbol, and the grouped tables.
 
     ``quote_order`` names columns of the cleaned quotes that decide which quote of a
-    symbol is the first; ``spread`` columns of the cleaned articles that tell them apart.
-    The matched news feeds every table, so it is written to the shared folder once.
+    symbol is the first. The matched news feeds every table, so it is written to the shared folder once.
     """
     words = words or {"positive": POSITIVE_WORDS, "negative": NEGATIVE_WORDS}
     news = with_lexicon_sentiment(clean_articles(articles), words["positive"], words["negative"])
     returns = with_returns(clean_quotes(quotes))
-    matched = materialize(match_news_or_default(news, returns, quote_order, spread))
+    matched = materialize(match_news_or_default(news, returns, quote_order))
     found = matched.agg(F.count("*").alias("total_matches"))
     return {
         "matched": matched,

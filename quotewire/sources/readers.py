@@ -92,10 +92,18 @@ def read_snapshots(
     return rows, rejects
 
 
-def read_json_doc(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of a JSON document or file of JSON lines; none where the path is missing."""
+def read_json_doc(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """Rows of JSON documents; none where the path is missing.
+
+    A file holds one document, laid out over as many lines as it likes: an object is a
+    row, a list holds rows. Files of JSON lines, as :func:`writers.write_json` makes them,
+    are read with ``multi_line=False``. What cannot be read is an error.
+    """
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
     try:
-        return spark.read.schema(schema).json(path)
+        return reader.json(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -16,6 +16,7 @@ from quotewire.operators.summaries import (
     stock_summary,
     ticker_mentions,
 )
+from quotewire.session import materialize
 
 
 # Quotes in a cell are doubled, as spreadsheets and data frame libraries expect.
@@ -33,7 +34,8 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_stocks(quotes: DataFrame, folder: str) -> None:
-    """Quotes as JSON and CSV, their summary and the top movers."""
+    """Quotes as JSON and CSV, their summary and the top movers, of quotes computed once."""
+    quotes = materialize(quotes)
     write_json(quotes, f"{folder}/stocks_json")
     write_csv(quotes, f"{folder}/stocks_csv", **DOUBLED_QUOTES)
     write_json(stock_summary(quotes), f"{folder}/stock_summary")
@@ -41,7 +43,8 @@ def write_stocks(quotes: DataFrame, folder: str) -> None:
 
 
 def write_news(posts: DataFrame, chunks: DataFrame, folder: str) -> None:
-    """Posts, chunks, their summary and the most mentioned symbols."""
+    """Posts, chunks, their summary and the most mentioned symbols, of posts computed once."""
+    posts = materialize(posts)
     write_json(posts, f"{folder}/posts")
     write_json(chunks, f"{folder}/chunks")
     write_json(news_summary(posts), f"{folder}/news_summary")
@@ -49,7 +52,8 @@ def write_news(posts: DataFrame, chunks: DataFrame, folder: str) -> None:
 
 
 def write_sentiment(scored: DataFrame, folder: str) -> None:
-    """Scored articles, their summary and the two extreme articles."""
+    """Scored articles, their summary and the two extreme articles, scored once."""
+    scored = materialize(scored)
     write_json(scored, f"{folder}/scored")
     write_json(sentiment_summary(scored), f"{folder}/sentiment_summary")
     write_json(extreme_articles(scored), f"{folder}/extreme_articles")

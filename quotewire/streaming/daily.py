@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Parts that the rows of one key are dealt into before they meet.
+KEY_PARTS = 16
+
+
 def stream_ingest(
     spark: SparkSession,
     path: str,
@@ -28,13 +32,17 @@ def event_time(stream: DataFrame, time: str) -> DataFrame:
 def stream_dedup(
     stream: DataFrame, key: Sequence[str], time: str, delay: str = "1 day"
 ) -> DataFrame:
-    """First arrival per key; repeats within the watermark delay are dropped.
+    """One arrival per key; repeats within the watermark delay are dropped.
 
-    All new rows of a key meet in one task. ``maxFilesPerTrigger`` on the source bounds
-    how many that can be.
+    Repeats go in two steps: first among rows whose time falls in the same of
+    ``KEY_PARTS`` parts, spread over as many tasks, then among the one row that each
+    part let through, so a hot key brings few rows to any task. Both steps keep a key
+    for the delay.
     """
+    part = F.pmod(F.xxhash64(time), F.lit(KEY_PARTS))
     return (
-        event_time(stream, time).withWatermark(time, delay)
+        event_time(stream, time).withWatermark(time, delay).withColumn("_part", part)
+        .dropDuplicatesWithinWatermark([*key, "_part"]).drop("_part")
         .dropDuplicatesWithinWatermark(list(key))
     )
 

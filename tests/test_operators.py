@@ -73,6 +73,12 @@ def test_quote_aliases(spark):
         cleaning.clean_quotes(mixed)
 
 
+def test_a_change_that_is_no_number_is_null(spark):
+    df = spark.createDataFrame([("A", "1", "1.5%"), ("B", "2", "-0.5"), ("C", "3", None)],
+                               "symbol string, price string, change_percent string")
+    assert rows(cleaning.clean_quotes(df), "symbol", "change_percent") == [("A", None), ("B", -0.5), ("C", None)]
+
+
 def test_quotes_with_bad_time_are_dropped(spark):
     df = spark.createDataFrame([("A", 1.0, "2024-01-02T03:04:05"), ("B", 1.0, "soon")],
                                "symbol string, price double, created_iso string")
@@ -108,31 +114,76 @@ def test_pick_first_and_last(spark):
     assert rows(keyed.pick_last(df, ["k"], ["o"])) == [("a", 2, "x"), ("b", 1, "y")]
 
 
-@pytest.mark.parametrize("threshold", ["10m", "-1"])
-def test_lookup_join_with_a_hot_key(spark, threshold):
-    """A third of the rows share one key; broadcast and shuffled forms agree."""
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+SPLIT = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     # partitions of a test are small enough to be merged into one
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        facts = spark.range(30_000).select(
-            "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("key")
-        )
-        lookup = spark.range(400).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
-        got = keyed.lookup_join(facts, lookup, "key", ["id"])
-        assert got.columns == ["key", "id", "value"]
-        want = facts.join(lookup, "key").agg(F.count("*"), F.sum("id"), F.sum("value")).first()
-        assert got.agg(F.count("*"), F.sum("id"), F.sum("value")).first() == want
-        left = keyed.lookup_join(facts, lookup, "key", ["id"], how="left")
-        assert left.count() == 30_000
-        # without broadcast, the hot key is spread over many tasks
-        if threshold == "-1":
-            hot = got.where("key = 0").select(F.spark_partition_id().alias("p")).distinct().count()
-            assert hot > 1
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+}
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins by shuffle, split where a test's partitions are skewed."""
+    old = {k: spark.conf.get(k, None) for k in SPLIT}
+    for k, v in SPLIT.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_facts(spark, n):
+    return spark.range(0, n, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("key")
+    )
+
+
+def test_lookup_join_with_a_hot_key(spark):
+    facts = hot_facts(spark, 30_000)
+    lookup = spark.range(400).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    got = keyed.lookup_join(facts, lookup, "key")
+    assert got.columns == ["key", "id", "value"]
+    want = facts.join(lookup, "key").agg(F.count("*"), F.sum("id"), F.sum("value")).first()
+    assert got.agg(F.count("*"), F.sum("id"), F.sum("value")).first() == want
+    assert keyed.lookup_join(facts, lookup, "key", how="left").count() == 30_000
+    nulls = facts.withColumn("key", F.lit(None).cast("long"))
+    assert keyed.lookup_join(nulls, lookup, "key").count() == 0
+
+
+def test_hot_key_is_split_where_the_lookup_is_shuffled(shuffled):
+    """The lookup is an aggregate over the join's key, whose place Spark would reuse."""
+    facts = hot_facts(shuffled, 200_000)
+    lookup = facts.groupBy("key").agg(F.max("id").alias("value"))
+    got = keyed.lookup_join(facts, lookup, "key")
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    hot = got.where("value > 0 AND key = 0").select(F.spark_partition_id().alias("p")).distinct()
+    assert hot.count() > 1
+    assert got.count() == 200_000
+
+
+def test_equal_order_is_settled_by_the_row(spark):
+    """The picked row does not depend on the order in which rows arrive."""
+    pairs = [("a", 1, "x", 5.0), ("a", 1, "y", 6.0), ("a", 1, None, 7.0)]
+    schema = "k string, o int, v string, w double"
+    picked = {
+        rows(pick(spark.createDataFrame(some, schema).coalesce(1), ["k"], ["o"]))[0]
+        for some in (pairs, pairs[::-1], pairs[1:] + pairs[:1]) for pick in (keyed.pick_first,)
+    }
+    assert len(picked) == 1
+
+
+def test_large_limit_per_group_cuts_a_hot_group_in_parts(spark):
+    df = hot_facts(spark, 20_000)
+    got = ranking.limit_per_group(df, "key", ["id"], 2000)
+    kept = got.where("key = 0").select("id").collect()
+    assert sorted(r["id"] for r in kept) == [r["id"] for r in df.where("key = 0").orderBy("id").limit(2000).collect()]
+    assert got.count() == 2000 + df.where("key <> 0").count()
+    assert got.columns == df.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") >= 2
 
 
 def quote_frame(spark, *rows_):
@@ -180,14 +231,14 @@ def test_match_takes_the_first_quote(spark):
     news = news_frame(spark, ("1", "a"), ("2", "B"))
     quotes = returns_frame(spark, ("A", 0.2, 5.0, 0.01, 2), ("a", 0.1, 4.0, 0.01, 1), ("C", 0.3, 1.0, 0.01, 1))
     for match in (joins.match_news, joins.match_news_or_default):
-        got = match(news, quotes, ["o"], ["post_id"])
+        got = match(news, quotes, ["o"])
         assert rows(got, "post_id", "symbol", "daily_return", "total_volume") == [("1", "A", 0.1, 4.0)]
 
 
 @pytest.mark.parametrize("quotes", [[], [("X", 0.2, 5.0, 0.01, 2)]])
 def test_no_match_at_all_keeps_everything(spark, quotes):
     news = news_frame(spark, ("1", "a"), ("2", "B"))
-    got = joins.match_news_or_default(news, returns_frame(spark, *quotes), ["o"], ["post_id"])
+    got = joins.match_news_or_default(news, returns_frame(spark, *quotes), ["o"])
     assert rows(got, "post_id", "symbol", "daily_return", "total_volume") == [
         ("1", "A", 0.0, 0.0), ("2", "B", 0.0, 0.0)
     ]
@@ -312,6 +363,17 @@ def test_daily_takes_the_latest_price(spark):
     assert timeseries.daily_symbol(df).first()["current_price"] == 5.0
 
 
+def test_days_are_utc_and_bad_times_are_dropped(spark):
+    df = pairs(spark, pair(1, "A", 0.5), pair(2, "C", 0.1))
+    odd = [("3", "A", "", 9.0), ("4", "A", "soon", 9.0), ("5", "A", None, 9.0), ("6", "A", "2024-01-01T23:00:00-05:00", 1.0)]
+    more = spark.createDataFrame(odd, "news_id string, stock_symbol string, published_at string, sentiment_score double")
+    df = df.unionByName(more, allowMissingColumns=True)
+    got = rows(timeseries.daily_symbol(df), "stock_symbol", "date", "sentiment_score")
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    assert got == [("A", first, 0.5), ("A", second, 1.0), ("C", first, 0.1)]
+    assert len(rows(timeseries.sector_daily(df))) == 3
+
+
 def test_guards_on_few_days_and_sectors(spark):
     series = timeseries.time_series_features(pairs(spark, *days("A", 11)))
     assert timeseries.market_daily(series).count() == 0
@@ -352,7 +414,25 @@ def test_quantiles_match_numpy(spark):
         ]),
     })
     check_quantiles(spark, frame)
-    check_quantiles(spark, frame, cells=4, levels=1)
+    check_quantiles(spark, frame, cells=4, ordered=50)
+
+
+@pytest.mark.parametrize("kind", ["lognormal", "outliers", "zeros", "close"])
+def test_few_values_are_left_to_order(spark, monkeypatch, kind):
+    """Whatever the spread of the values, the cells in question shrink in two rounds."""
+    rng = np.random.default_rng(8)
+    v = {
+        "lognormal": rng.lognormal(0, 6, 30_000),
+        "outliers": np.append(rng.normal(size=30_000), [1e6, 1e12, -1e9]),
+        "zeros": np.append(rng.normal(size=20_000) * 1e-300, [0.0, 5.0, -5e-324]),
+        "close": 1e9 + rng.random(20_000) * 1e-4,
+    }[kind]
+    rounds = []
+    attach = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df: rounds.append(attach(df)) or rounds[-1])
+    check_quantiles(spark, pd.DataFrame({"g": "all", "v": v}), ordered=200)
+    slots = rounds[-1].groupBy("_slot").count().agg(F.max("count")).first()[0]
+    assert slots <= 200 and len(rounds) <= 1 + 2 * 3
 
 
 def test_box_of_everything_and_of_nothing(spark):

@@ -67,6 +67,7 @@ def listed(html):
 PIECES = [
     '<a href="x>y" b=\'q"r\' c=d e>t</a>', "<A HREF=/x/y>1 &lt; 2 &amp;amp; &eacute;&#233;</A>", "a < b > c", "<br/><img src=x />z",
     "x<!-- <b> -->y<!DOCTYPE html>z", "<script>if (a<b) '<p>'</script>s<style>p{}</style>", "<x-y data-a = '1'>t</x-y>", "<p\n class='a\nb'\n>t",
+    '<p title=5">one</p>', "<i x=it's y=2>t</i>", '<a b=c"d"e f>t</a>', "<b it's>t</b>", '<u "q" r=1>t</u>',
 ]
 
 
@@ -78,6 +79,19 @@ def test_nodes_agree_with_the_standard_parser(html):
     assert listed(html) == parser.seen
 
 
+def test_tags_that_do_not_close_take_linear_time():
+    import time
+
+    def seconds(html):
+        start = time.perf_counter()
+        listed(html)
+        return time.perf_counter() - start
+
+    for piece in ('<a b="x ', "<a b='x ", "<a b=", "<a ", "<!x ", "<script ", "<script>", "</a "):
+        assert seconds(piece * 40_000) < 3
+    assert listed("one<p>two<a href='x") == [(TEXT, "one"), ("p", {}), (TEXT, "two")]
+
+
 def test_given_pages_agree_with_the_standard_parser():
     path = "/root/testdata/sf0.01/pages.parquet"
     for (html,) in duckdb.sql(f"SELECT html FROM '{path}'").fetchall():

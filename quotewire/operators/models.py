@@ -34,9 +34,10 @@ CLUSTERS = 4
 ELBOW = range(2, 8)
 RESTARTS = 10
 ITERATIONS = 300
-#: MLlib's greatest depth, for forests without a limit of their own. The driver holds the
-#: trees: a tree has at most twice as many nodes as there are training rows.
-DEPTH = 30
+#: MLlib grows trees level by level, with a pass over the rows for each few hundred open
+#: nodes, and the driver holds the trees. ``depth=30``, its greatest, leaves trees in
+#: effect unlimited, at a cost of up to twice as many nodes a tree as training rows.
+DEPTH = 8
 
 
 def _in_order(df: DataFrame, *keys: str) -> DataFrame:

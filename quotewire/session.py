@@ -61,8 +61,21 @@ def materialize(df: DataFrame) -> DataFrame:
 
     For inputs that several jobs re-read (model fits, multi-output workflows). Unlike a
     cache it survives the loss of executors, and later jobs read only the columns they
-    need. The tables stay until the folder is cleared.
+    need. The tables of an application stay until :func:`drop_materialized`.
     """
-    path = f"{shared_folder(df.sparkSession)}/quotewire/{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/quotewire/{spark.sparkContext.applicationId}"
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete all tables this application has written by :func:`materialize`.
+
+    To be called once the results that read them have been written elsewhere.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -195,3 +195,16 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session("local-cluster[3,2,1024]"))
     assert shared_folder(session("yarn", "hdfs:///scratch")) == "hdfs:///scratch"
+
+
+def test_materialized_tables_can_be_dropped(spark):
+    from quotewire.session import drop_materialized, materialize
+
+    df = materialize(spark.range(5))
+    assert df.count() == 5
+    other = spark.newSession()
+    drop_materialized(spark)
+    drop_materialized(other)  # nothing left is fine
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+        df.collect()
+    assert materialize(spark.range(3)).count() == 3

@@ -8,25 +8,29 @@ from pyspark.sql import functions as F
 from quotewire.session import materialize
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Rows (node, component) of all nodes of ``links`` (a, b); the smallest node names it.
 
+    ``known`` holds the components of links found before, which then need not be in
+    ``links`` again.
+
     Large-star and small-star steps in turn (Kiveris et al., 2014): each node ties its
     larger neighbours, then its smaller ones, to the least node it knows, until all ties
     are stars. A step groups by node with map-side minima, so a hub that holds much of
-    the links sends one row per task; the links of a hub are joined to its one minimum,
-    which Spark splits when they are skewed. Each round's ties go to the shared folder.
+    the links sends one row per task, and joins the ties to those minima. Each round's
+    ties are written to the shared folder, so lineage stays short.
     """
-    ties = materialize(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a <> b").distinct()
-    )
+    ties = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    if known is not None:
+        ties = ties.union(known.select("node", "component"))
+    ties, before = materialize(ties.where("a <> b").distinct()), None
     while True:
-        large = _star(ties.union(ties.select("b", "a")), larger=True)
-        small = materialize(_star(materialize(large), larger=False))
-        if _same(ties, small):
+        now = _digest(ties)
+        if now == before or not now[0]:
             break
-        ties = small
+        before = now
+        large = _star(ties.union(ties.select("b", "a")), larger=True)
+        ties = materialize(_star(large, larger=False))
     low = ties.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return ties.select(F.col("a").alias("node"), F.col("b").alias("component")).union(low)
 
@@ -35,20 +39,16 @@ def _star(pairs: DataFrame, larger: bool) -> DataFrame:
     """Tie the larger (else all, of larger-first pairs) neighbours of each node to its minimum."""
     pairs = pairs.toDF("n", "m")
     least = pairs.groupBy("n").agg(F.min("m").alias("least"))
-    least = materialize(least.select("n", F.least("n", "least").alias("least")))
-    joined = pairs.join(least, "n")
+    least = least.select(F.struct("n").alias("key"), F.least("n", "least").alias("least"))
+    # The wrapped key keeps Spark from joining where the minima lie, which could not be split.
+    joined = pairs.withColumn("key", F.struct("n")).join(least, "key")
     if larger:
         ties = joined.where("m > n").select(F.col("m").alias("a"), F.col("least").alias("b"))
     else:
-        ties = joined.select(F.col("m").alias("a"), F.col("least").alias("b")).union(
-            least.select("n", "least")
-        )
+        ties = joined.select(F.explode(F.array("m", "n")).alias("a"), F.col("least").alias("b"))
     return ties.where("a <> b").distinct()
 
 
-def _same(old: DataFrame, new: DataFrame) -> bool:
-    def digest(df: DataFrame):
-        h = F.xxhash64("a", "b")
-        return df.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first()
-
-    return digest(old) == digest(new)
+def _digest(ties: DataFrame) -> tuple:
+    h = F.xxhash64("a", "b")
+    return tuple(ties.agg(F.count("*"), F.bit_xor(h), F.sum(h.cast("decimal(38,0)"))).first())

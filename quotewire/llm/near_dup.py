@@ -34,6 +34,10 @@ BANDS, ROWS = 16, 4
 #: Pairs that agree in a smaller share of their samples are not verified. At a similarity
 #: of 0.8 the share of 64 samples is below this once in some 10,000 pairs.
 LEAST_AGREEMENT = 0.61
+#: Samples that texts of mixed buckets are compared by, and the least share of agreement
+#: worth a verification: four standard deviations below a similarity of 0.8.
+FINE = 512
+LEAST_FINE = 0.73
 #: First tries per text among those of other classes, before all that are left are tried.
 FIRST_TRIES = 6
 IDF_BITS = 16
@@ -210,43 +214,61 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[
         yield rest
 
 
-def _cross_pairs(bands: DataFrame, labels: DataFrame, nodes: DataFrame, tries: int | None) -> DataFrame:
+def _fine_sketches(texts: DataFrame, wanted: DataFrame, idf) -> DataFrame:
+    """Rows (node, fine): 8 bits for each of ``FINE`` samples of the wanted texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, sampler, table = WordHasher(), _Sampler(FINE), idf.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words, heads = hasher.words(part["text"])
+                out = []
+                for at, to in zip(heads, heads[1:]):
+                    key, n, weight = shingles(words[at:to], table)
+                    out.append((sampler.draw(key, n * weight) & U64(255)).astype(np.uint8).tobytes())
+                yield pa.record_batch([part["node"], pa.array(out, pa.binary())], names=["node", "fine"])
+
+    rows = texts.join(wanted.select("node").distinct(), "node").select("node", "text")
+    return materialize(rows.mapInArrow(run, "node long, fine binary"))
+
+
+def _mixed(bands: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``bands`` with classes, and the buckets of several classes: key, n, outside, main."""
+    marked = bands.join(labels, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    sizes = marked.groupBy("key", "component").agg(F.count("*").alias("size"))
+    buckets = sizes.groupBy("key").agg(
+        F.sum("size").alias("n"), (F.sum("size") - F.max("size")).alias("outside"),
+        F.max(F.struct("size", "component"))["component"].alias("main"), F.count("*").alias("kinds"),
+    )
+    return marked, materialize(buckets.where("kinds > 1").drop("kinds"))
+
+
+def _cross_pairs(marked: DataFrame, mixed: DataFrame, held: DataFrame, tries: int | None) -> DataFrame:
     """Pairs (a, b) that share a bucket, lie in different classes and agree enough.
 
     ``tries`` keeps the best few of each text in each bucket; None gives all. Of a bucket
     only the texts outside its largest class are tried, against all others; larger
     buckets are dealt out in blocks of texts, so no task holds one whole.
     """
-    marked = bands.join(labels, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    mixed = materialize(
-        marked.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-        ).where("low < high").select("key", "n")
-    )
-    rows = materialize(marked.join(mixed, "key"))
-    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("size"))
-    main = materialize(
-        sizes.groupBy("key").agg(
-            F.max(F.struct("size", "component"))["component"].alias("main"),
-            (F.sum("size") - F.max("size")).alias("outside"),
-        )
-    )
     hashed = F.xxhash64("node")
-    blocks = lambda n: F.ceil(F.col(n) / CHUNK).cast("int")
-    spots = lambda n: F.sequence(F.lit(0), blocks(n) - 1)
-    placed = rows.join(main, "key")
-    cut = lambda n: F.pmod(hashed, blocks(n)).cast("int")
-    tried = placed.where("component <> main").select(
-        "key", "band", "node", "component", F.lit(1).alias("side"), cut("outside").alias("i"),
-        F.explode(spots("n")).alias("j"),
-    )
-    others = placed.select(
-        "key", "band", "node", "component", F.lit(0).alias("side"),
-        F.explode(spots("outside")).alias("i"), cut("n").alias("j"),
-    )
-    held = nodes.select("node", "keys", "sketch")
+
+    def blocks(n: str):
+        return F.ceil(F.col(n) / CHUNK).cast("int")
+
+    def spots(side: int, n: str, i, j):
+        numbers = F.sequence(F.lit(0), blocks(n) - 1)
+        return F.transform(numbers, lambda x: F.struct(
+            F.lit(side).alias("side"), i(x).alias("i"), j(x).alias("j")
+        ))
+
+    def cut(n: str):
+        return F.pmod(hashed, blocks(n)).cast("int")
+
+    tried = spots(1, "n", lambda x: cut("outside"), lambda x: x)
+    others = spots(0, "outside", lambda x: x, lambda x: cut("n"))
+    places = F.when(F.col("component") != F.col("main"), F.concat(tried, others)).otherwise(others)
     by = ["key", "i", "j"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,8 +283,7 @@ def _cross_pairs(bands: DataFrame, labels: DataFrame, nodes: DataFrame, tries: i
                 table[c].to_numpy() for c in ("side", "node", "component", "band")
             )
             keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-            sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8)
-            sketch = sketch.reshape(-1, BANDS * ROWS)
+            sketch = np.frombuffer(b"".join(table["fine"].to_pylist()), np.uint8).reshape(-1, FINE)
             ours, theirs = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
             first = np.searchsorted(group[theirs], group[ours], side="left")
             count = np.searchsorted(group[theirs], group[ours], side="right") - first
@@ -275,9 +296,10 @@ def _cross_pairs(bands: DataFrame, labels: DataFrame, nodes: DataFrame, tries: i
                 at = to
                 apart = component[x] != component[y]
                 x, y = x[apart], y[apart]
-                share = (sketch[x] == sketch[y]).mean(1)
                 once = (keys[x] == keys[y]).argmax(1) == band[x]  # in their first common bucket
-                good = (share >= LEAST_AGREEMENT) & once
+                x, y = x[once], y[once]
+                share = (sketch[x] == sketch[y]).mean(1)
+                good = share >= LEAST_FINE
                 x, y, share = x[good], y[good], share[good]
                 if tries is not None and len(x):
                     order = np.lexsort((node[y], -share, x))
@@ -291,9 +313,10 @@ def _cross_pairs(bands: DataFrame, labels: DataFrame, nodes: DataFrame, tries: i
                 )
 
     return (
-        tried.union(others).join(held, "node")
+        marked.join(mixed, "key").select("key", "band", "node", "component", F.explode(places).alias("p"))
+        .select("key", "p.i", "p.j", "band", "node", "component", "p.side").join(held, "node")
         .repartition(*by).sortWithinPartitions(*by)
-        .select(*by, "band", "node", "component", "side", "keys", "sketch")
+        .select(*by, "band", "node", "component", "side", "keys", "fine")
         .mapInArrow(find, "a long, b long").distinct()
     )
 
@@ -362,22 +385,28 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     bands = materialize(bands.join(crowded, "key"))
     near = nodes.join(bands.select("node").distinct(), "node").select("node", "_f1", "_f2", "doc_id")
     near = materialize(near)
+    # Never by broadcast: what has to be compared grows with the documents.
     texts = _texts(docs.join(
-        near, (docs["_f1"] == near["_f1"]) & (docs["_f2"] == near["_f2"])
+        near.hint("merge"), (docs["_f1"] == near["_f1"]) & (docs["_f2"] == near["_f2"])
         & docs["doc_id"].eqNullSafe(near["doc_id"])
     ).select("node", "text"))
     texts = materialize(texts.dropDuplicates(["node"]))
 
     pairs = materialize(_best_hubs(nodes, bands))
-    links, tested = _verified(pairs, texts, idf, similarity), pairs
+    tested, labels = pairs, materialize(components(_verified(pairs, texts, idf, similarity)))
+    held = None
     for tries in (FIRST_TRIES, None):
-        labels = materialize(components(links))
-        pairs = _cross_pairs(bands, labels, nodes, tries)
+        marked, mixed = _mixed(bands, labels)
+        if held is None:  # classes only grow together, so later rounds need no other texts
+            fine = _fine_sketches(texts, marked.join(mixed.select("key"), "key"), idf)
+            held = materialize(fine.join(nodes.select("node", "keys"), "node"))
+        pairs = _cross_pairs(marked, mixed, held, tries)
         old = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         pairs = materialize(pairs.join(old, ["a", "b"], "left_anti"))
-        links = links.union(_verified(pairs, texts, idf, similarity))
+        if pairs.isEmpty():  # with fewer tries there would be none either
+            break
+        labels = materialize(components(_verified(pairs, texts, idf, similarity), labels))
         tested = tested.union(pairs)
-    labels = components(links)
 
     member = nodes.select("_f1", "_f2", "node", "doc_id", "n_copies", "keys").join(labels, "node", "left")
     member = materialize(member.select(

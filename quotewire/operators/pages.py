@@ -168,15 +168,20 @@ def _section_symbols(nodes: Column) -> Column:
 
 
 def absolute_url(href: Column, base: str) -> Column:
-    """``href`` resolved against the root of ``base``."""
+    """``href`` resolved against ``base``, the address of a site without a path.
+
+    Dot steps at the start of a path lead nowhere above the root, so they go.
+    """
     root = base.rstrip("/")
     scheme = root.split(":", 1)[0]
+    path = F.regexp_replace(href, r"^/?(\.{1,2}(/|$))+", "")
     return (
         F.when(href.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(F.lit(f"{scheme}:"), href))
-        .when(href.startswith("/"), F.concat(F.lit(root), href))
         .when(href == "", F.lit(base))
-        .otherwise(F.concat(F.lit(f"{root}/"), href))
+        .when(href.startswith("?") | href.startswith("#"), F.concat(F.lit(base), href))
+        .when(path.startswith("/"), F.concat(F.lit(root), path))
+        .otherwise(F.concat(F.lit(f"{root}/"), path))
     )
 
 

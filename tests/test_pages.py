@@ -231,3 +231,13 @@ def test_posts_and_chunks(spark):
     assert len(set(ids)) == 2 and ids == [r[0] for r in posts.select("post_id").collect()]
     chunk = pages.build_chunks(posts, SITE).where("url_count = 1").first()
     assert (chunk["date_bucket"], chunk["token_count"], chunk["emoji_count"]) == ("1970-01-03", 3, 2)
+
+
+def test_addresses_are_resolved_as_browsers_do(spark):
+    from urllib.parse import urljoin
+
+    hrefs = ["/x/y", "x/y", "../x", "./x?q=1", "../../x/", "/../x", "?q=1", "#part", "//cdn.example.com/x", "https://a.b/c", "mailto:a@b"]
+    base = "https://news.example.com"
+    df = spark.createDataFrame([(h,) for h in hrefs], "href string")
+    got = df.select("href", pages.absolute_url(F.col("href"), base).alias("url")).collect()
+    assert {r["href"]: r["url"] for r in got} == {h: urljoin(base, h) for h in hrefs}

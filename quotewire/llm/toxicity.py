@@ -214,7 +214,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TEX
     rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     keys = rows.select("doc_id").join(known, "doc_id")
     sizes = {r["label"]: r["n"] for r in keys.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    sample = features(rows.join(bounded_sample(known, most, "label"), "doc_id")).toArrow()
+    # The sample is bounded, so it can go to the texts instead of the texts to it.
+    chosen = F.broadcast(bounded_sample(known, most, "label"))
+    sample = features(rows.join(chosen, "doc_id")).toArrow()
     label = sample["label"].to_numpy().astype(float)
     if len(np.unique(label)) < 2:
         share = float(label.mean()) if len(label) else 0.0

@@ -7,11 +7,13 @@ probability. Draws are hashes of the row's key and the place, so a row always ge
 same segmentation, wherever and however often it is computed.
 
 Lattices of distinct words are filtered once; the sampling runs through all words of many
-texts at a time.
+texts at a time. A long run without blanks is parted where no piece reaches across: all
+ways pass there, so its parts are independent and the run's probabilities are exact.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from itertools import chain
@@ -30,8 +32,12 @@ SPACE = "▁"
 SHARPNESS = 1.0
 #: Distinct words whose lattices a task keeps.
 CACHE_WORDS = 100_000
-#: Bytes of a word, leading blanks included, that are one lattice.
+#: Bytes of a word, leading blanks included, up to which a task keeps its lattice.
 MAX_WORD = 96
+#: Bytes of longer words that are filtered at once; a single lattice may be longer.
+RUN_BYTES = 1 << 18
+#: From so few long words on, places are filtered one by one.
+FEW_WORDS = 8
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -73,6 +79,7 @@ class _Lattices:
         if (self.bytes < 0).any():
             raise ValueError("the model cannot fall back to bytes")
         self.low = -2 * sharpness * np.log(n + 2)
+        self.longest = max(map(len, known), default=1)
         starts = {name[:i] for name in known for i in range(1, len(name) + 1)}
         names = sorted(starts)
         hashed = self._hash(b"".join(names), np.cumsum([0, *map(len, names)]))
@@ -101,6 +108,49 @@ class _Lattices:
         self.length, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
         self.share, self.piece, self.back = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int64)
 
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """All that is known of the words so far; :meth:`learn` makes new tables."""
+        return self.length, self.first, self.share, self.piece, self.back
+
+    def forget(self, tables: tuple[np.ndarray, ...]) -> None:
+        """Drop the words learnt since these were the tables."""
+        self.length, self.first, self.share, self.piece, self.back = tables
+        while len(self.words) > len(self.length):
+            self.words.popitem()
+
+    def _found(self, at, word_end, total, down):
+        """Places (start, end) and spots of all pieces that start ``at`` and end in the word."""
+        size = 0
+        while len(at):
+            size += 1
+            at = at[at + size <= word_end[at]]
+            key = mix((total[at + size] - total[at]) * down[at])
+            spot = np.minimum(np.searchsorted(self.prefix, key), len(self.prefix) - 1)
+            hit = self.prefix[spot] == key
+            at, spot = at[hit], spot[hit]
+            whole = self.number[spot] >= 0
+            yield at[whole], at[whole] + size, spot[whole]
+
+    def parts(self, runs: list[bytes]) -> list[list[bytes]]:
+        """Each run, cut at all places that no piece reaches across."""
+        data, lengths = b"".join(runs), np.array([len(r) for r in runs])
+        total, down = self._sums(data)
+        offsets = np.append(0, np.cumsum(lengths))
+        word_end = np.repeat(offsets[1:], lengths)
+        change = np.zeros(len(data) + 1, np.int32)
+        for at in range(0, len(data), RUN_BYTES):
+            starts = np.arange(at, min(at + RUN_BYTES, len(data)))
+            for start, end, _ in self._found(starts, word_end, total, down):
+                # No place twice in either, as all these pieces are of one length.
+                change[start + 1] += 1
+                change[end] -= 1
+        cuts = np.flatnonzero(np.cumsum(change) == 0)
+        first = np.searchsorted(cuts, offsets)
+        cuts = cuts.tolist()
+        return [
+            [data[a:b] for a, b in zip(cuts[i:j], cuts[i + 1 : j + 1])] for i, j in zip(first, first[1:])
+        ]
+
     def learn(self, new: list[bytes]) -> None:
         """Filter the lattices of new words, all places that are equally far along at once."""
         data, lengths = b"".join(new), np.array([len(w) for w in new])
@@ -111,19 +161,11 @@ class _Lattices:
         starts, ends = [at], [at + 1]
         pieces = [self.bytes[np.frombuffer(data, np.uint8)]]
         weights = [np.full(len(at), self.low)]
-        size = 0
-        while len(at):
-            size += 1
-            at = at[at + size <= word_end[at]]
-            key = mix((total[at + size] - total[at]) * down[at])
-            spot = np.minimum(np.searchsorted(self.prefix, key), len(self.prefix) - 1)
-            hit = self.prefix[spot] == key
-            at, spot = at[hit], spot[hit]
-            whole = self.number[spot] >= 0
-            starts.append(at[whole])
-            ends.append(at[whole] + size)
-            pieces.append(self.number[spot[whole]])
-            weights.append(self.weight[spot[whole]])
+        for first, last, spot in self._found(at, word_end, total, down):
+            starts.append(first)
+            ends.append(last)
+            pieces.append(self.number[spot])
+            weights.append(self.weight[spot])
         start, end, piece, weight = (np.concatenate(x) for x in (starts, ends, pieces, weights))
         # Node i of the data is the place after byte i; edges in the order of their nodes.
         order = np.argsort(end, kind="stable")
@@ -134,7 +176,12 @@ class _Lattices:
         by_step = np.argsort(along, kind="stable")
         cuts = np.append(0, np.cumsum(np.bincount(along)))
         after = np.zeros(len(data) + 1)  # weight of all ways from the word's start
+        by_length = np.sort(lengths)
         for step in range(1, len(cuts) - 1):
+            if step > MAX_WORD and len(new) - np.searchsorted(by_length, step) <= FEW_WORDS:
+                for i in np.flatnonzero(lengths >= step):
+                    self._walk(int(offsets[i]), step, int(offsets[i + 1]), start, end, weight, after, share)
+                break
             some = by_step[cuts[step] : cuts[step + 1]]
             if not len(some):
                 continue
@@ -159,13 +206,40 @@ class _Lattices:
         self.piece = np.append(self.piece, piece.astype(np.int32))
         self.back = np.append(self.back, end - start)
 
+    def _walk(self, head, step, last, start, end, weight, after, share) -> None:
+        """Filter one word's places from ``step`` on, one after another."""
+        for low in range(head + step, last + 1, 1 << 14):
+            high = min(low + (1 << 14), last + 1)
+            a, b = np.searchsorted(end, [low, high])
+            origin = max(head, low - self.longest)
+            known = after[origin:low].tolist()
+            if origin == head:
+                known[0] = 0.0
+            froms, scores = (start[a:b] - origin).tolist(), weight[a:b].tolist()
+            shares, i = [], 0
+            for n in np.bincount(end[a:b] - low).tolist():
+                own = [scores[j] + known[froms[j]] for j in range(i, i + n)]
+                top = max(own)
+                ways = [math.exp(x - top) for x in own]
+                whole, run = math.fsum(ways), 0.0
+                for x in ways:
+                    run += x / whole
+                    shares.append(run)
+                shares[-1] = 1.0
+                known.append(top + math.log(whole))
+                i += n
+            share[a:b] = shares
+            after[low:high] = known[low - origin :]
+
     def sample(self, word: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all words in order, and each word's number of pieces."""
         place, who, step = self.length[word].copy(), np.arange(len(word)), 0
         found = []
         while len(who):
             draw = mix(key[who] + U64(step * _BASE % (1 << 64))) >> U64(11)
-            spot = self.first[word[who]] + place[who] - 1 + draw * 2.0**-53
+            node = self.first[word[who]] + place[who]
+            # Beside large numbers a draw next to 1 must not be rounded into the next node.
+            spot = np.minimum(node - 1 + draw * 2.0**-53, np.nextafter(node.astype(float), 0))
             edge = np.searchsorted(self.share, spot, side="right")
             found.append((who, self.piece[edge]))
             place[who] -= self.back[edge]
@@ -181,6 +255,18 @@ class _Lattices:
         return out, counts
 
 
+def _groups(words: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """The words in turn, in lists of at most so many bytes, or one word."""
+    group, size = [], 0
+    for word in words:
+        if group and size + len(word) > most:
+            yield group
+            group, size = [], 0
+        group.append(word)
+        size += len(word)
+    yield group
+
+
 def encode(
     docs: DataFrame, pieces: Sequence[tuple[bytes, int]], key: str = "doc_id", seed: int = 0,
     sharpness: float = SHARPNESS, keep_text: bool = False,
@@ -189,15 +275,16 @@ def encode(
 
     A text starts with one blank more, as the model's own encoder has it. The draws depend
     on the row's ``key``, the seed, the place and the text only; equal rows get equal ids.
-    Words of more than 64 bytes are segmented 64 bytes at a time. A null text has no ids,
-    like no other; an empty one has the blank's. A column ``ids`` is replaced.
+    Runs without blanks or line ends are sampled from the lattice of the whole run, however
+    long; no piece of the model may cross from one to the next. A null text has no ids, like
+    no other; an empty one has the blank's. A column ``ids`` is replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(list(pieces))
     keyed = docs.withColumn("_key", F.xxhash64(F.lit(seed), F.col(key)))
 
     def make():
         lattices = _Lattices(shared.value, sharpness)
-        cut = re.compile(rb" {0,32}[^ \n]{1,%d}|\n| {1,32}" % (MAX_WORD - 32)).findall
+        cut = re.compile(rb" *[^ \n]+|\n| +").findall
 
         def ids(part: pa.RecordBatch) -> list[pa.Array]:
             if len(lattices.words) > CACHE_WORDS:
@@ -205,14 +292,36 @@ def encode(
             texts = part["text"].cast(pa.binary()).to_pylist()
             words = [cut(b" " + t) if t is not None else [] for t in texts]
             known, number = len(lattices.words), lattices.words.__getitem__
+            long = [max(map(len, own), default=0) > MAX_WORD for own in words]
+            if any(long):
+                runs = {w: (w,) for own, some in zip(words, long) if some for w in own}
+                longer = [w for w in runs if len(w) > MAX_WORD]
+                runs.update(zip(longer, lattices.parts(longer)))
+                words = [
+                    list(chain.from_iterable(map(runs.__getitem__, own))) if some else own
+                    for own, some in zip(words, long)
+                ]
+                for word in chain.from_iterable(words):
+                    if len(word) <= MAX_WORD:
+                        number(word)
+            kept = None
             n_words = np.array([len(own) for own in words], np.int64)
             index = np.fromiter(map(number, chain.from_iterable(words)), np.int64, int(n_words.sum()))
             if len(lattices.words) > known:
-                lattices.learn(list(lattices.words)[known:])
+                new = list(lattices.words)[known:]
+                short = sum(len(w) <= MAX_WORD for w in new)  # these come first
+                if short:
+                    lattices.learn(new[:short])
+                if short < len(new):
+                    kept = lattices.tables()
+                    for group in _groups(new[short:], RUN_BYTES):
+                        lattices.learn(group)
             keys = part["_key"].to_numpy().view(U64)
             place = ranges(np.zeros(len(texts), np.int64), n_words).astype(U64)
             key = mix(np.repeat(keys, n_words) + place * U64(0xD6E8FEB86659FD93))
             found, counts = lattices.sample(index, key)
+            if kept:
+                lattices.forget(kept)
             of_word = np.append(0, np.cumsum(counts))
             offsets = of_word[np.append(0, np.cumsum(n_words))]
             nulls = np.append(np.asarray(part["text"].is_null()), False)

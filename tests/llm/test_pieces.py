@@ -49,6 +49,68 @@ def test_samples_have_the_lattices_probabilities():
             assert abs(seen[s] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 2 / n
 
 
+def exact_shares(word, pieces_, sharpness=1.0):
+    """For all edges (start, piece) of a word's lattice the share of segmentations using it."""
+    names = {n: (i, 1 / (r + 2)) for r, (i, n) in enumerate(
+        (i, n) for i, (n, kind) in enumerate(pieces_) if kind == 0)}
+    low, longest = (len(pieces_) + 2) ** -2.0, max(map(len, names))
+    edges = []
+    for a in range(len(word)):
+        edges.append((a, a + 1, 1 + word[a], low))
+        edges += [(a, b, *names[word[a:b]]) for b in range(a + 1, min(a + longest, len(word)) + 1)
+                  if word[a:b] in names]
+    ahead, back = ([-math.inf] * (len(word) + 1) for _ in range(2))
+    ahead[0] = back[-1] = 0.0
+    for a, b, _, w in edges:
+        ahead[b] = np.logaddexp(ahead[b], ahead[a] + math.log(w))
+    for a, b, _, w in reversed(edges):
+        back[a] = np.logaddexp(back[a], back[b] + math.log(w))
+    return {(a, i): math.exp(ahead[a] + math.log(w) + back[b] - ahead[-1]) for a, b, i, w in edges}
+
+
+WIDE = [*SMALL, *[(p.encode(), 0) for p in ("你好", "你", "好", "你好你", "好你", "世", "好世", "xx", "xxx", "x")]]
+
+
+@pytest.mark.parametrize("text", [
+    "你好" * 50, "你好世你" * 30, "x" * 300, " " * 150 + "ab", "a" + "abc" * 60 + "zé" * 40 + "ab" * 40,
+])
+def test_long_runs_have_the_whole_lattices_probabilities(spark, text):
+    """Also across every 64th byte, and inside of lattices that no place parts."""
+    n, word = 3000, b" " + text.encode()
+    sizes = np.array([len(name) for name, _ in WIDE])
+    df = spark.createDataFrame([(i, text) for i in range(n)], "doc_id long, text string")
+    seen = Counter()
+    for row in pieces.encode(df, WIDE).collect():
+        ids = np.array(row["ids"])
+        ends = np.cumsum(sizes[ids])
+        assert ends[-1] == len(word)
+        seen.update(zip((ends - sizes[ids]).tolist(), ids.tolist()))
+    exact = exact_shares(word, WIDE)
+    assert set(seen) <= set(exact)
+    for edge, p in exact.items():
+        assert abs(seen[edge] / n - p) < 6 * math.sqrt(max(p * (1 - p), 0) / n) + 3 / n, edge
+
+
+def test_long_runs_of_the_given_model(spark, model):
+    """A character that the model has comes as bytes only by rare chance, wherever it stands."""
+    text = "的人是在有" * 60
+    assert all(any(c.encode() == name for name, kind in model if kind == 0) for c in set(text))
+    single = np.array([kind == 1 for _, kind in model])
+    df = spark.createDataFrame([(i, text) for i in range(50)], "doc_id long, text string")
+    rows = pieces.encode(df, model).collect()
+    assert sum(single[r["ids"]].sum() for r in rows) < 50
+
+
+def test_long_lattices_are_not_kept():
+    lattices = pieces._Lattices(WIDE, 1.0)
+    assert lattices.parts([b"zabcz" * 30, b"x" * 200]) == [[b"z", b"abc", b"z"] * 30, [b"x" * 200]]
+    lattices.learn([w for w in (b"ab",) if lattices.words[w] == 0])
+    kept = lattices.tables()
+    lattices.learn([w for w in (b"x" * 200,) if lattices.words[w] == 1])
+    lattices.forget(kept)
+    assert list(lattices.words) == [b"ab"] and len(lattices.length) == 1
+
+
 def odd_texts():
     rng = random.Random(1)
     letters = list("ab cé\n  ▁\x00\t你\U0001F600") + ["the ", " of", "   "]

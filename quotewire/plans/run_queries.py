@@ -77,12 +77,17 @@ def write_json(t: Inputs) -> DataFrame:
     return readers.read_json_doc(t.spark, path, posts.schema, multi_line=False)
 
 
+#: Posts of a document at most, as post ids do not repeat.
+DOCUMENT_POSTS = 4000
+
+
 @query("read_json_doc", sql("SELECT post_id, author, headline FROM posts", "posts"))
 def read_json_doc(t: Inputs) -> DataFrame:
     """Indented documents, each a list of posts in a file of its own."""
     path = scratch(t, "documents")
     post = F.struct("post_id", "author", "headline")
-    listed = t.posts().groupBy((F.col("post_id").cast("long") % 7).alias("file")).agg(
+    number = F.col("post_id").cast("long")
+    listed = t.posts().groupBy(F.floor(number / DOCUMENT_POSTS).alias("file")).agg(
         F.to_json(F.collect_list(post), {"pretty": "true", "ignoreNullFields": "false"}).alias("value")
     )
     listed.write.partitionBy("file").text(path)

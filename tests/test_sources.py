@@ -63,6 +63,20 @@ def test_json_keeps_text_and_nulls(spark, tmp_path):
     assert readers.read_json_doc(spark, f"{tmp_path}/j", df.schema, multi_line=False).count() == 0
 
 
+def test_documents_grow_in_number_not_in_size(spark, tmp_path):
+    from quotewire.plans import run_queries
+
+    n = 30_000
+    spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("s").alias("source"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    got = run_queries.read_json_doc(Inputs(spark, str(tmp_path)))
+    sizes = [r["n"] for r in got.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) <= run_queries.DOCUMENT_POSTS
+    assert sum(sizes) == got.select("post_id").distinct().count() == n
+
+
 def test_indented_documents(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps({"a": "x", "b": 1}, indent=2))
     (tmp_path / "two.json").write_text(json.dumps([{"a": "y", "b": 2}, {"a": "z"}], indent=4))

@@ -97,7 +97,8 @@ def fit(
     """Weights of all word buckets and the bias.
 
     ``weights`` are those of the texts, so that a sample stands for its whole; ``penalty``
-    counts texts that a word must explain to have a say. The words that do are then
+    counts texts, of the rarer label, that a word must explain to have a say, whatever
+    share of its label the sample holds. The words that do are then
     fitted again under the smaller penalty ``refit``, so that they get their full weight.
     Both fits take proximal gradient steps over the words that violate optimality, and
     end when no other word does.
@@ -111,7 +112,8 @@ def fit(
     weights = weights / weights.sum()
     share = float((weights * labels).sum())
     w, bias = np.zeros(len(names)), float(np.log(share / (1 - share)))
-    floor = weights.mean()
+    rarer = labels == (share <= 0.5)
+    floor = weights[rarer].mean()
 
     def error(real, bias):
         margin = np.bincount(rows, real[columns], minlength=len(sets)) + bias

@@ -112,6 +112,22 @@ def test_prior_and_risk():
     assert (score[:900] > 0.5).mean() > 0.97 and (score[900:] < 0.5).mean() > 0.97
 
 
+@pytest.mark.parametrize("label, other_weight", [(1, 1), (1, 99), (0, 99)])
+def test_toxicity_penalty_counts_texts_of_the_rarer_label(label, other_weight):
+    """Ten texts of the rarer label explain a word and one does not, however the sample is weighed."""
+    rng = random.Random(4)
+    common = [f"c{chr(97 + i)}" for i in range(20)]
+    texts = [rng.choices(common, k=8) for _ in range(600)]
+    labels = np.array([float(label if i < 200 else 1 - label) for i in range(600)])
+    for i in range(10):
+        texts[i].append("telling")
+    texts[10].append("single")
+    weights = np.where(labels == label, 1.0, float(other_weight))
+    table, _ = toxicity.fit(sets_of([" ".join(t) for t in texts]), labels, weights)
+    told, once = (table[sets_of([w])[0]][0] * (1 if label else -1) for w in ("telling", "single"))
+    assert told > 1 and once == 0
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     model = toxicity.train(odd, spark.createDataFrame([], "doc_id long, quality int, toxic int"), F.lit(True))
     assert max(scores(toxicity.predict(odd, model, keep_text=True)).values()) < 1e-9

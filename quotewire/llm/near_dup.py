@@ -397,14 +397,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     held = None
     for tries in (FIRST_TRIES, None):
         marked, mixed = _mixed(bands, labels)
+        if mixed.isEmpty():  # no two texts of different classes share a bucket
+            break
         if held is None:  # classes only grow together, so later rounds need no other texts
             fine = _fine_sketches(texts, marked.join(mixed.select("key"), "key"), idf)
             held = materialize(fine.join(nodes.select("node", "keys"), "node"))
         pairs = _cross_pairs(marked, mixed, held, tries)
         old = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         pairs = materialize(pairs.join(old, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():  # with fewer tries there would be none either
-            break
+        if pairs.isEmpty():  # the best few may all be tested already, the next ones not
+            continue
         labels = materialize(components(_verified(pairs, texts, idf, similarity), labels))
         tested = tested.union(pairs)
 

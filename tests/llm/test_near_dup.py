@@ -51,6 +51,29 @@ def family(rng, words, n, size, edits):
     return out
 
 
+def test_all_pairs_are_tried_when_the_best_few_are_tested(spark, monkeypatch):
+    """The exact round finds what is left when the first round has no untested pair."""
+    cross = near_dup._cross_pairs
+    rounds = []
+
+    def only_tested(marked, mixed, held, tries):
+        rounds.append(tries)
+        found = cross(marked, mixed, held, tries)
+        return found if tries is None else found.limit(0)
+
+    monkeypatch.setattr(near_dup, "_cross_pairs", only_tested)
+    monkeypatch.setattr(near_dup, "_best_hubs", lambda nodes, bands: spark.createDataFrame([], "a long, b long"))
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(300)]
+    rows = [(i, " ".join([*base[:i], f"x{i}", *base[i + 1 :]])) for i in range(4)]
+    rows.append((9, " ".join(rng.choices(words, k=80))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 9: 9}
+    assert rounds == [near_dup.FIRST_TRIES, None]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_same_classes_as_all_pairs(spark, monkeypatch, seed):
     monkeypatch.setattr(near_dup, "CHUNK", 16)  # several blocks to a bucket

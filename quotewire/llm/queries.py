@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from quotewire.llm import (
     lang_id,
+    lexical,
+    manifest,
     near_dup,
+    oracles,
     packing,
     pieces,
     quality,
@@ -19,6 +22,7 @@ from quotewire.llm import (
     substring,
     topk,
     toxicity,
+    url_filter,
     vector_dup,
 )
 from quotewire.llm.folds import held_out
@@ -119,18 +123,35 @@ def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# Integer inner products are exact in any engine, so SQL can check the search.
-ORACLE_SQL["op10_top_k"] = """
-WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-    FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
-), ranked AS (
-    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
-    FROM scored
-)
-SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
-"""
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge(_table(spark, folder, "pages").select("page_id", "url"))
+    return judged.select(
+        "page_id", "host", "path", "rule", "verdict", F.size("strict_hits").alias("n_strict"),
+        F.size("soft_hits").alias("n_soft"),
+    )
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = _table(spark, folder, "documents")
+    told = manifest.manifest(docs, tampered, manifest.lower_cased(F.col("text")))
+    siblings = F.transform("proof", lambda level: F.concat(level["left"], level["right"]))
+    folded = manifest.folded(F.col("now"), F.col("proof"))
+    told = told.withColumns({"proof_sha256": F.sha2(F.concat_ws("", siblings), 256), "folded_root": folded})
+    return told.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+ORACLE_SQL["op10_top_k"] = oracles.TOP_K
+ORACLE_SQL["op11_lexical_search"] = oracles.lexical_search()
+ORACLE_SQL["op12_url_filter"] = oracles.url_filter()
+ORACLE_SQL["op13_merkle_manifest"] = oracles.merkle_manifest()

@@ -14,7 +14,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from quotewire.session import materialize
 
 BITS = 4
-#: Nodes in a run, and digits of the rank inside a block: 16**3 leaves.
+#: Nodes in a run, and digits (two at least) of the rank inside a block: 16**3 leaves.
 ARITY = 1 << BITS
 DIGITS = 3
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -99,21 +99,22 @@ def _grouped_away(nodes: DataFrame, group: Sequence[str], digit: int, others: Se
 def _levels(nodes: DataFrame, group: Sequence[str], payload: Sequence[str]) -> list[DataFrame]:
     """Nested blocks of every rollup, from the leaves up to one block per group.
 
-    ``nodes``: the group, rank, n, hash and ``payload``. Each result holds a row per run of
-    256 nodes (the last digit is grouped away on the way down, with the path above).
+    ``nodes``: the group, rank, n, hash and ``payload``. All digits of a block but the last
+    are grouped away in each result; the last is on the way down, with the path above.
     """
     out = []
     while True:
         # One shuffle a rollup: all its groupings keep a block's rows together.
         block = F.shiftright("rank", BITS * DIGITS).alias("block")
         rows = nodes.select(*group, block, "rank", "n", "hash", *payload).repartition(*group, "block")
-        rows = _grouped_away(rows, [*group, "block"], 0, payload)
-        rows = materialize(_grouped_away(rows, [*group, "block"], 1, ["kids"]))
+        for digit in range(DIGITS - 1):
+            rows = _grouped_away(rows, [*group, "block"], digit, ["kids"] if digit else payload)
+        rows = materialize(rows)
         out.append(rows)
         most = rows.agg(F.max("n")).first()[0]
         if most is None or most <= BLOCK:
             return out
-        top = _grouped_away(rows.drop("kids"), [*group, "block"], 2, [])
+        top = _grouped_away(rows.drop("kids"), [*group, "block"], DIGITS - 1, [])
         nodes = top.select(
             *group, F.col("block").alias("rank"), F.ceil(F.col("n") / BLOCK).cast("long").alias("n"), "hash"
         )
@@ -122,7 +123,7 @@ def _levels(nodes: DataFrame, group: Sequence[str], payload: Sequence[str]) -> l
 
 def _roots(top: DataFrame, group: Sequence[str]) -> DataFrame:
     """The group and hash of trees that are one block."""
-    return _grouped_away(top.drop("kids"), [*group, "block"], 2, []).select(*group, "hash")
+    return _grouped_away(top.drop("kids"), [*group, "block"], DIGITS - 1, []).select(*group, "hash")
 
 
 def _with_proofs(

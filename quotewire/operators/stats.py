@@ -1,20 +1,10 @@
-"""Correlation, trend line, Granger test and the findings drawn from them."""
+"""Correlation, trend line and the findings drawn from them."""
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sizes below which a symbol is not tested, and the reported level.
-GRANGER_MIN_ROWS = 50
-GRANGER_MIN_COMPLETE = 20
-GRANGER_MAX_LAG = 5
-SIGNIFICANCE = 0.05
-
 # Thresholds and texts of the findings.
 CORRELATION_LEVEL = 0.3
 STRATEGY_LEVEL = 0.4
@@ -69,89 +59,6 @@ def trend_line(pairs: DataFrame, points: int = 100) -> DataFrame:
     )
 
 
-# --- Granger --------------------------------------------------------------------------
-
-
-def chi2_tail(stat: float, df: int) -> float:
-    """P(chi-square with ``df`` degrees of freedom > ``stat``)."""
-    if stat <= 0:
-        return 1.0
-    half = stat / 2
-    if df % 2 == 0:
-        term = total = math.exp(-half)
-        for i in range(1, df // 2):
-            term *= half / i
-            total += term
-        return total
-    total = math.erfc(math.sqrt(half))
-    term = math.sqrt(half / math.pi) * 2 * math.exp(-half)
-    for i in range(1, (df + 1) // 2):
-        total += term
-        term *= half / (i + 0.5)
-    return total
-
-
-def granger_p_values(y: np.ndarray, x: np.ndarray, max_lag: int) -> list[float] | None:
-    """p-value per lag of "the past of x helps to predict y", or None where the test
-    is not defined (a constant lag column, or a perfect fit).
-
-    Compares the squared errors of y on its own k lags with those after adding k lags
-    of x; n * (restricted - full) / full is chi-square with k degrees of freedom.
-    """
-    out = []
-    for k in range(1, max_lag + 1):
-        target = y[k:]
-        n = len(target)
-        own = np.column_stack([y[k - i : len(y) - i] for i in range(1, k + 1)])
-        other = np.column_stack([x[k - i : len(x) - i] for i in range(1, k + 1)])
-        full = np.column_stack([own, other])
-        if (np.ptp(full, axis=0) == 0).any():
-            return None
-        ones = np.ones((n, 1))
-        errors = []
-        for design in (np.column_stack([own, ones]), np.column_stack([full, ones])):
-            fitted = design @ np.linalg.lstsq(design, target, rcond=None)[0]
-            errors.append(float(((target - fitted) ** 2).sum()))
-        spread = float(((target - target.mean()) ** 2).sum())
-        if spread == 0 or errors[1] / spread < np.finfo(float).eps:
-            return None
-        out.append(chi2_tail(n * (errors[0] - errors[1]) / errors[1], k))
-    return out
-
-
-def granger(
-    series: DataFrame,
-    cause: str = "sentiment_score",
-    effect: str = "price_change_1d",
-    max_lag: int = GRANGER_MAX_LAG,
-) -> DataFrame:
-    """Per symbol: sample_size, p-values lag_1..lag_k and the significant lags.
-
-    ``series`` has one row per symbol and day, so a group holds at most as many rows
-    as there are days. Symbols with too few rows, or for which the test is not
-    defined, are left out.
-    """
-    lags = [f"lag_{k}" for k in range(1, max_lag + 1)]
-
-    def test(key: tuple, days: pd.DataFrame) -> pd.DataFrame:
-        complete = days.sort_values("date").dropna(subset=[cause, effect])
-        p = None
-        if len(days) >= GRANGER_MIN_ROWS and len(complete) >= GRANGER_MIN_COMPLETE:
-            p = granger_p_values(complete[effect].to_numpy(), complete[cause].to_numpy(), max_lag)
-        rows = [] if p is None else [(key[0], len(complete), *p)]
-        return pd.DataFrame(rows, columns=["stock_symbol", "sample_size", *lags])
-
-    schema = "stock_symbol string, sample_size long, " + ", ".join(f"{c} double" for c in lags)
-    tested = (
-        series.select("stock_symbol", "date", cause, effect)
-        .groupBy("stock_symbol").applyInPandas(test, schema)
-    )
-    significant = F.array_compact(
-        F.array(*[F.when(F.col(c) < SIGNIFICANCE, F.lit(c)) for c in lags])
-    )
-    return tested.withColumn("significant_lags", significant)
-
-
 # --- findings -------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.operators import models, stats, summaries, timeseries
+from quotewire.operators import causality, models, stats, summaries, timeseries
 from quotewire.operators.joins import integrate
 from quotewire.operators.pages import build_chunks
 from quotewire.operators.sentiment import lexicon_scorer, score_articles
@@ -197,9 +197,59 @@ def _series(t: Inputs) -> DataFrame:
     return timeseries.time_series_features(t.pairs("S"))
 
 
-@query("granger")
+def _granger_sql() -> str:
+    """Least squares by eliminating one column after another from the sums of products.
+
+    The chi-square tail is 1 - exp(-h) sum h^(a + n) / gamma(a + n + 1) with a = k / 2.
+    """
+    ctes = ["""complete AS (
+        SELECT *, count(*) OVER (PARTITION BY stock_symbol) AS sample_size,
+            row_number() OVER (PARTITION BY stock_symbol ORDER BY date) AS t
+        FROM (SELECT stock_symbol, date, sentiment_score AS x, price_change_1d AS y,
+                count(*) OVER (PARTITION BY stock_symbol) AS days FROM series)
+        WHERE x IS NOT NULL AND y IS NOT NULL QUALIFY days >= 50 AND sample_size >= 20)""",
+        # Deviations from the mean, or the sums would lose digits.
+        """centred AS (
+        SELECT stock_symbol, sample_size, t, x - avg(x) OVER (PARTITION BY stock_symbol) AS x,
+            y - avg(y) OVER (PARTITION BY stock_symbol) AS y FROM complete)"""]
+    last = []
+    for k in range(1, causality.GRANGER_MAX_LAG + 1):
+        lags = ", ".join(f"lag({c}, {i}) OVER w" for c in "yx" for i in range(1, k + 1))
+        size = 2 * k + 2
+        ctes.append(f"""rows_{k} AS (
+            SELECT stock_symbol, sample_size, t, [y, 1.0, {lags}] AS v FROM centred
+            WINDOW w AS (PARTITION BY stock_symbol ORDER BY t) QUALIFY t > {k})""")
+        ctes.append(f"""g_{k}_0 AS (
+            SELECT stock_symbol, any_value(sample_size) AS sample_size, a, b, sum(v[a] * v[b]) AS s
+            FROM rows_{k}, range(1, {size + 1}) i(a), range(1, {size + 1}) j(b) GROUP BY stock_symbol, a, b)""")
+        for n, p in enumerate(range(2, size + 1), 1):
+            ctes.append(f"""g_{k}_{n} AS (
+                SELECT g.stock_symbol, g.sample_size, g.a, g.b, g.s - l.s * r.s / c.s AS s FROM g_{k}_{n - 1} g
+                JOIN g_{k}_{n - 1} l ON l.stock_symbol = g.stock_symbol AND l.a = g.a AND l.b = {p}
+                JOIN g_{k}_{n - 1} r ON r.stock_symbol = g.stock_symbol AND r.a = {p} AND r.b = g.b
+                JOIN g_{k}_{n - 1} c ON c.stock_symbol = g.stock_symbol AND c.a = {p} AND c.b = {p})""")
+        ctes.append(f"""stat_{k} AS (
+            SELECT o.stock_symbol, o.sample_size, (o.sample_size - {k}) * (o.s - f.s) / f.s AS stat_{k}
+            FROM g_{k}_{k + 1} o JOIN g_{k}_{2 * k + 1} f USING (stock_symbol)
+            WHERE o.a = 1 AND o.b = 1 AND f.a = 1 AND f.b = 1)""")
+        ctes.append(f"""p_{k} AS (
+            SELECT stock_symbol, sample_size, stat_{k}, CASE WHEN stat_{k} <= 0 THEN 1.0 ELSE 1 - s END AS lag_{k}
+            FROM (SELECT stock_symbol, sample_size, stat_{k}, sum(exp(({k} / 2 + n) * ln(greatest(stat_{k}, 1e-300) / 2) - stat_{k} / 2
+                    - lgamma({k} / 2 + n + 1))) AS s
+                FROM stat_{k}, range(0, 1000) x(n) GROUP BY stock_symbol, sample_size, stat_{k}))""")
+        last.append(f"p_{k}")
+    ks = range(1, causality.GRANGER_MAX_LAG + 1)
+    found = ", ".join(f"CASE WHEN lag_{k} < 0.05 THEN 'lag_{k}' END" for k in ks)
+    numbers = [f"{c}_{k}" for k in ks for c in ("stat", "lag")]
+    body = f"""SELECT stock_symbol, sample_size, {", ".join(numbers)}, concat_ws(',', {found}) AS significant_lags
+        FROM {last[0]} {" ".join(f"JOIN {p} USING (stock_symbol, sample_size)" for p in last[1:])}"""
+    views = sql("", "series").strip()
+    return f"""{views}, {", ".join(ctes)} {rounded(body, *numbers)}"""
+
+
+@query("granger", _granger_sql())
 def granger(t: Inputs) -> DataFrame:
-    return stats.granger(_series(t))
+    return causality.granger(_series(t))
 
 
 _COMPLETE = "volatility_5d IS NOT NULL AND price_change_1d IS NOT NULL"

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire.functions.labels import NEGATIVE_WORDS, POSITIVE_WORDS
-from quotewire.operators import feeds, models, ranking, stats, summaries, timeseries
+from quotewire.operators import causality, feeds, models, ranking, stats, summaries, timeseries
 from quotewire.operators.cleaning import (
     clean_articles,
     clean_news,
@@ -127,7 +127,7 @@ def research_workflow(pairs: DataFrame, trees: int = models.TREES) -> Research:
         "time_series": series,
         "market_daily": timeseries.market_daily(series),
         "top_mentioned_stocks": ranking.top_mentioned_stocks(pairs, 5),
-        "granger": stats.granger(series),
+        "granger": causality.granger(series),
         "kmeans_symbols": clusters,
         "cluster_profile": models.cluster_profile(clusters),
         "sector_daily": timeseries.sector_daily(pairs),

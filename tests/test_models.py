@@ -7,22 +7,37 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quotewire.operators import models, stats
+from quotewire.operators import causality, models
 
 
 # --- Granger ------------------------------------------------------------------------------
 
 
 @pytest.mark.parametrize("df, point", [(1, 3.841459), (2, 5.991465), (3, 7.814728), (4, 9.487729), (5, 11.070498)])
-def test_chi2_tail_at_known_points(df, point):
-    assert stats.chi2_tail(point, df) == pytest.approx(0.05, abs=1e-6)
-    assert stats.chi2_tail(0.0, df) == 1.0
+def test_chi2_tail_at_known_points(one, df, point):
+    tail = lambda x: one(lambda c: causality.chi2_tail(c, df), x)
+    assert tail(point) == pytest.approx(0.05, abs=1e-6)
+    assert tail(0.0) == tail(-1e-9) == 1.0
+    assert tail(1e-12) == pytest.approx(1) and 0 < tail(600.0) < 1e-100
     # against the integral of the density
     x = np.linspace(point, point + 200, 400_001)
     density = x ** (df / 2 - 1) * np.exp(-x / 2) / (2 ** (df / 2) * math.gamma(df / 2))
     assert np.trapezoid(density, x) == pytest.approx(0.05, abs=1e-5)
 
 
+def test_erfc_against_the_library(spark):
+    x = np.concatenate([np.linspace(0, 3, 61), np.linspace(3.5, 20, 30)])
+    got = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", causality.erfc(F.col("x")).alias("e"))
+    for v, e in got.collect():
+        assert e == pytest.approx(math.erfc(v), rel=1e-12)
+
+
+def chi2(stat, df):
+    """The tail by the sum of the series of the incomplete gamma function."""
+    h, a = stat / 2, df / 2
+    return 1 - sum(math.exp((a + n) * math.log(h) - h - math.lgamma(a + n + 1)) for n in range(4000))
+
+
 def squared_error(columns, target):
     """Residual sum of squares by the normal equations, column by column."""
     a = np.array(columns + [np.ones(len(target))])
@@ -36,7 +51,7 @@ def by_hand(y, x, k):
     other = [np.array([x[t - i] for t in range(k, len(y))]) for i in range(1, k + 1)]
     restricted = squared_error(own, y[k:])
     full = squared_error(own + other, y[k:])
-    return stats.chi2_tail(n * (restricted - full) / full, k)
+    return n * (restricted - full) / full
 
 
 def series(spark, **symbols):
@@ -62,11 +77,13 @@ def test_granger_against_normal_equations(spark):
         GAPS=(x[:60], [None] * 41 + list(z[:19])),  # under 20 complete rows
         FLAT=(np.ones(60), z[:60]),  # a constant lag column
     )
-    got = {r["stock_symbol"]: r for r in stats.granger(df).collect()}
+    got = {r["stock_symbol"]: r for r in causality.granger(df).collect()}
     assert got.keys() == {"LED", "FREE"}
     for symbol, target in (("LED", y), ("FREE", z)):
         for k in range(1, 6):
-            assert got[symbol][f"lag_{k}"] == pytest.approx(by_hand(target, x, k), rel=1e-6, abs=1e-12)
+            stat = by_hand(target, x, k)
+            assert got[symbol][f"stat_{k}"] == pytest.approx(stat, rel=1e-9)
+            assert got[symbol][f"lag_{k}"] == pytest.approx(chi2(stat, k), abs=1e-9)
     assert got["LED"]["sample_size"] == 120
     assert "lag_2" in got["LED"]["significant_lags"]
     for r in got.values():
@@ -75,7 +92,29 @@ def test_granger_against_normal_equations(spark):
 
 def test_granger_perfect_fit_is_left_out(spark):
     x = np.sin(np.arange(60.0))
-    assert stats.granger(series(spark, A=(x, np.roll(x, 1)))).count() == 0
+    assert causality.granger(series(spark, A=(x, np.roll(x, 1)))).count() == 0
+
+
+def test_granger_of_far_means_dependent_lags_and_other_lag_counts(spark):
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=80), rng.normal(size=80)
+    echo = np.roll(y, 1)  # each lag of the cause is a later lag of the effect
+    echo[0] = 0.3
+    df = series(spark, FAR=(1e6 + x, 1e-4 * y - 50), NEAR=(x, y), ECHO=(echo, y), **{"NAN": ([float("nan")] * 5 + list(x[5:]), y)})
+    got = {r["stock_symbol"]: r for r in causality.granger(df, max_lag=3).collect()}
+    assert got.keys() == {"FAR", "NEAR", "ECHO", "NAN"} and "lag_4" not in got["NEAR"].asDict()
+    for k in range(1, 4):
+        assert got["FAR"][f"stat_{k}"] == pytest.approx(got["NEAR"][f"stat_{k}"], rel=1e-6)
+        assert got["NAN"][f"stat_{k}"] == pytest.approx(by_hand(y[5:], x[5:], k), rel=1e-9)
+    # At 1 lag the echo is the same column but for its first value; what is left of it is tested.
+    assert all(0 <= got["ECHO"][f"lag_{k}"] <= 1 for k in range(1, 4))
+
+
+def test_granger_takes_one_shuffle_and_no_python(spark):
+    df = series(spark, A=(np.arange(60.0) % 7, np.arange(60.0) % 5))
+    plan = causality.granger(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
 # --- forests ------------------------------------------------------------------------------

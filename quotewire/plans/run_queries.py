@@ -537,28 +537,38 @@ def stream_ingest(t: Inputs) -> DataFrame:
     return _drained(t, rows, "ingest")
 
 
-@query("stream_dedup", "SELECT DISTINCT 'S' || user_id AS symbol FROM events")
+@query(
+    "stream_dedup",
+    # Times count in sixteenths of the five days, from 1970 on.
+    """WITH RECURSIVE times AS (SELECT DISTINCT 'S' || user_id AS symbol, epoch_ms(ts) // 27000000 AS slice FROM events),
+    kept AS (
+        SELECT symbol, min(slice) AS slice FROM times GROUP BY symbol
+        UNION ALL
+        SELECT k.symbol, min(t.slice) FROM kept k JOIN times t ON t.symbol = k.symbol AND t.slice >= k.slice + 16
+        GROUP BY k.symbol, k.slice)
+    SELECT symbol, count(*) AS arrivals FROM kept GROUP BY symbol""",
+)
 def stream_dedup(t: Inputs) -> DataFrame:
+    """How often each user comes back after five days or more."""
     keyed = _events(t).select(F.concat(F.lit("S"), "user_id").alias("symbol"), "ts")
-    # the delay covers the whole stream, so each key comes out once
-    deduped = streams.stream_dedup(keyed, ["symbol"], "ts", delay="3650 days")
-    return _drained(t, deduped, "dedup").select("symbol")
+    deduped = streams.stream_dedup(keyed, ["symbol"], "ts", delay="5 days")
+    return _drained(t, deduped, "dedup").groupBy("symbol").agg(F.count("*").alias("arrivals"))
 
 
 @query(
     "stream_daily_counts",
     rounded(
-        """SELECT strftime(day, '%Y-%m-%d') AS date, event_type, count(*) AS "count", avg(value) AS mean
-        FROM (SELECT *, date_trunc('day', ts) AS day FROM events)
-        WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
-        GROUP BY ALL""",
+        """SELECT strftime(ts, '%Y-%m-%d') AS date, event_type, count(*) AS "count", avg(value) AS mean
+        FROM events GROUP BY ALL""",
         "mean",
     ),
 )
 def stream_daily_counts(t: Inputs) -> DataFrame:
-    """Days that are final at the end of the stream."""
+    """All days of the backlog, those still open at its end too."""
     counts = streams.stream_daily_counts(_events(t), "ts", ["event_type"], "value")
-    return _drained(t, counts, "counts")
+    return streams.upsert_available(
+        counts, ["date", "event_type"], scratch(t, "counts"), scratch(t, "counts-progress")
+    )
 
 
 # --- whole workflows: their tables as rows (section, item, measure, value) ---------------

@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Split a hot key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The state of streams lies on disk, not in the heap, and may hold timers.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

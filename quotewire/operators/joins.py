@@ -11,7 +11,6 @@ from quotewire.functions.dates import now_utc
 from quotewire.functions.symbols import base_symbol
 from quotewire.operators.keyed import lookup_join, not_null, pick_first, pick_last
 from quotewire.operators.summaries import daily_news, daily_stock
-from quotewire.session import materialize
 
 
 def join_by_date(news: DataFrame, stock: DataFrame) -> DataFrame:
@@ -94,12 +93,13 @@ def match_news(news: DataFrame, quotes: DataFrame, order: Sequence[str]) -> Data
 
 def match_news_or_default(news: DataFrame, quotes: DataFrame, order: Sequence[str]) -> DataFrame:
     """Like :func:`match_news`, but where no article at all has a quote, every article
-    is kept with return 0 and volume 0. The joined articles are written once and read
-    twice, for the number of hits and for the rows."""
+    is kept with return 0 and volume 0. Whether there is a hit is told by the symbols
+    alone; the articles themselves are read once."""
     keyed = news.withColumn("symbol", F.upper("matched_symbol"))
     returns = _first_returns(quotes, order).withColumn("_hit", F.lit(True))
-    joined = materialize(lookup_join(keyed, returns, "symbol", how="left"))
-    none_found = joined.agg(F.count("_hit")).scalar() == 0
+    joined = lookup_join(keyed, returns, "symbol", how="left")
+    symbols = keyed.select("symbol").distinct().join(returns.select("symbol"), "symbol", "left_semi")
+    none_found = symbols.agg(F.count("*")).scalar() == 0
     return _dated(
         joined.where(F.col("_hit").isNotNull() | none_found)
         .withColumn("daily_return", F.coalesce("daily_return", F.lit(0.0)))
@@ -109,3 +109,50 @@ def match_news_or_default(news: DataFrame, quotes: DataFrame, order: Sequence[st
         )
         .drop("_hit")
     )
+
+
+def match_news_within(
+    news: DataFrame, quotes: DataFrame, order: Sequence[str], window: str = "1 day"
+) -> DataFrame:
+    """News with the return of the quote of its symbol that is nearest in time.
+
+    The quote lies within ``window`` of the article, before or after it; of two equally
+    near ones the earlier counts, of several at one time the first by ``order``. Articles
+    without such a quote, or without a time, are left out. stock_time and stock_date are
+    the quote's.
+
+    Only distinct (symbol, time) of the articles look for quotes, each among those of three
+    buckets of time, so a symbol's news is dealt out by bucket and AQE splits a bucket that
+    is still hot. The nearest is an aggregate over numbers; articles then fetch theirs.
+    """
+    span = news.sparkSession.sql(f"SELECT CAST(INTERVAL '{window}' AS INTERVAL DAY TO SECOND)").first()[0]
+    width = max(1, round(span.total_seconds() * 1_000_000))
+    keyed = news.withColumn("symbol", F.upper("matched_symbol")).where(not_null("news_time"))
+    bucket = lambda at: F.floor(F.col(at) / width)
+    kept = ("daily_return", "total_volume", "price_volatility")
+    timed = quotes.where(not_null("symbol", "stock_time")).select(
+        F.upper("symbol").alias("symbol"), F.unix_micros("stock_time").alias("_at"),
+        F.coalesce("daily_return", F.lit(0.0)).alias("daily_return"),
+        F.col("total_volume").cast("double").alias("total_volume"),
+        F.col("price_volatility").cast("double").alias("price_volatility"),
+        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+    )
+    timed = pick_first(timed, ["symbol", "_at"], [f"_o{i}" for i in range(len(order))])
+    near = timed.select("symbol", "_at", *kept, F.explode(
+        F.array(*[(bucket("_at") + i).cast("long") for i in (-1, 0, 1)])
+    ).alias("_bucket"))
+    asked = keyed.select("symbol", F.unix_micros("news_time").alias("_time")).distinct()
+    asked = asked.withColumn("_bucket", bucket("_time").cast("long"))
+    # Both sides come straight from a shuffle by symbol and bucket, so AQE may split them.
+    met = near.withColumn("_key", F.struct("symbol", "_bucket")).drop("symbol", "_bucket").join(
+        asked.where(not_null("symbol")).withColumn("_key", F.struct("symbol", "_bucket")), "_key"
+    )
+    away = F.abs(F.col("_at") - F.col("_time"))
+    met = met.where(away <= width).withColumn("_code", away * 2 + (F.col("_at") > F.col("_time")).cast("int"))
+    found = met.groupBy("symbol", "_time").agg(
+        F.min_by("_at", "_code").alias("_at"), *[F.min_by(c, "_code").alias(c) for c in kept]
+    )
+    articles = keyed.drop(*[c for c in kept if c in keyed.columns]).withColumn("_time", F.unix_micros("news_time"))
+    joined = lookup_join(articles, found, ["symbol", "_time"])
+    at = F.timestamp_micros("_at")
+    return joined.withColumns({"stock_date": F.to_date(at), "stock_time": at}).drop("_time", "_at")

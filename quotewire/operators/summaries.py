@@ -330,3 +330,20 @@ def run_summary(
         rows(pairs).alias("stock_news_integrations"),
         F.lit(scored is None).alias("sentiment_analysis_skipped"),
     )
+
+
+def run_summary_of(
+    stocks: DataFrame, news: DataFrame, sentiment: DataFrame | None, labels: DataFrame
+) -> DataFrame:
+    """:func:`run_summary` from the one-row summaries of the stages, which count them anyway."""
+
+    def size(df: DataFrame | None, column: str) -> Column:
+        return F.lit(0).cast("long") if df is None else df.select(column).scalar()
+
+    return stocks.select(
+        F.col("total_stocks").alias("stocks_crawled"),
+        size(news, "total_articles").alias("news_articles_crawled"),
+        size(sentiment, "total_articles").alias("articles_with_sentiment"),
+        size(labels, "total_stock_news_pairs").alias("stock_news_integrations"),
+        F.lit(sentiment is None).alias("sentiment_analysis_skipped"),
+    )

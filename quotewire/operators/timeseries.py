@@ -87,7 +87,8 @@ def market_daily(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
         F.avg("price_change_1d").alias("price_change_1d"),
         F.sum("news_count").alias("news_count"),
     )
-    return days.where(series.agg(F.count_distinct("date")).scalar() >= min_days)
+    # Counted over the days, whose shuffle Spark reuses; the series is worked out once.
+    return days.where(days.agg(F.count("date")).scalar() >= min_days)
 
 
 def symbol_recent(

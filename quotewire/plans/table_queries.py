@@ -588,6 +588,45 @@ def match_news_or_default(t: Inputs) -> DataFrame:
     return joins.match_news_or_default(news, unknown, order=["name"])
 
 
+_NEAR_QUOTES = """
+    SELECT 'S' || user_id % 10 AS symbol, ts, min(event_id) AS event_id, arg_min((value - 50) / 1000, event_id) AS daily_return,
+        CAST(arg_min(user_id, event_id) AS DOUBLE) AS total_volume
+    FROM events GROUP BY 1, 2"""
+
+
+@query(
+    "match_news_within",
+    sql(
+        rounded(
+            f"""SELECT post_id, symbol, news_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stock_time,
+                strftime(ts, '%Y-%m-%d') AS stock_date, daily_return, total_volume FROM (
+                SELECT n.*, q.*, row_number() OVER (PARTITION BY post_id
+                    ORDER BY abs(epoch_us(ts) - created_utc * 1000000), ts) AS place
+                FROM (SELECT post_id, created_utc, upper(split_part(stock_symbols[1], '-', 1)) AS symbol,
+                        replace(substr(created_iso, 1, 19), 'T', ' ') AS news_time
+                    FROM lexicon WHERE len(stock_symbols) > 0) n
+                JOIN ({_NEAR_QUOTES}) q USING (symbol)
+                WHERE abs(epoch_us(ts) - created_utc * 1000000) <= 5400000000)
+            WHERE place = 1""",
+            "daily_return", "total_volume",
+        ),
+        "lexicon",
+    ),
+)
+def match_news_within(t: Inputs) -> DataFrame:
+    """The nearest event of a symbol within an hour and a half of its news."""
+    news, _ = _article_returns(t)
+    quotes = t.matched().select(
+        F.concat(F.lit("s"), F.col("total_volume").cast("long") % 10).alias("symbol"),
+        F.col("news_time").alias("stock_time"), F.col("news_id").cast("long").alias("event_id"),
+        "daily_return", "total_volume", F.lit(0.01).alias("price_volatility"),
+    )
+    found = joins.match_news_within(news, quotes, ["event_id"], "90 minutes")
+    return found.select(
+        "post_id", "symbol", "news_time", "stock_time", "stock_date", "daily_return", "total_volume"
+    )
+
+
 SENTIMENT_RETURN = """
     SELECT sentiment_label, avg(daily_return) AS avg_return,
         stddev_samp(daily_return) AS return_std, count(daily_return) AS sample_count

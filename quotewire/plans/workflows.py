@@ -9,16 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire.functions.labels import NEGATIVE_WORDS, POSITIVE_WORDS
-from quotewire.operators import causality, feeds, models, ranking, stats, summaries, timeseries
+from quotewire.operators import causality, cubes, feeds, models, ranking, stats, summaries, timeseries
 from quotewire.operators.cleaning import (
     clean_articles,
     clean_news,
     clean_quotes,
     clean_stock,
-    stock_trend,
     with_returns,
 )
-from quotewire.operators.joins import integrate, join_by_date, match_news_or_default
+from quotewire.operators.joins import integrate, match_news_or_default
 from quotewire.operators.sentiment import (
     Scorer,
     score_articles,
@@ -30,15 +29,20 @@ Tables = dict[str, DataFrame]
 
 
 def full_workflow(news: DataFrame, stock: DataFrame, stock_code: str, n_sources: int = 10) -> Tables:
-    """Clean news and prices, join them by date, and the five analyses of them."""
-    news, stock = clean_news(news), clean_stock(stock)
-    joined = join_by_date(news, stock)
+    """Clean news and prices, join them by date, and the five analyses of them.
+
+    Each input is read once: its grouped tables are written as one cube, far smaller than
+    the input, and selected from there.
+    """
+    news = materialize(cubes.news_cube(clean_news(news)))
+    stock = materialize(cubes.stock_cube(clean_stock(stock), stock_code))
+    joined = cubes.daily_news(news).join(cubes.daily_stock(stock), "date")
     return {
         "joined": joined,
-        "top_sources": summaries.top_sources(news, n_sources),
-        "sentiment_dist": summaries.sentiment_dist(news),
-        "return_stats": summaries.return_stats(stock),
-        "stock_trend": stock_trend(stock, stock_code),
+        "top_sources": cubes.top_sources(news, n_sources),
+        "sentiment_dist": cubes.sentiment_dist(news),
+        "return_stats": cubes.return_stats(stock),
+        "stock_trend": cubes.stock_trend(stock),
         "sentiment_vs_return": summaries.sentiment_vs_return(joined),
     }
 
@@ -76,13 +80,18 @@ def base_workflow(
     pairs = materialize(integrate(quotes, posts if scored is None else scored, quote_order))
     sections = correlation_sections(pairs)
     groups = summaries.symbol_groups(pairs)
-    run = summaries.run_summary(quotes, posts, scored, pairs)
+    # One row each, which also hold the sizes that the summary of the run wants.
+    stocks = materialize(summaries.stock_summary(quotes))
+    news = materialize(summaries.news_summary(posts))
+    sections["pair_label_counts"] = materialize(sections["pair_label_counts"])
+    moods = None if scored is None else materialize(summaries.sentiment_summary(scored))
+    run = summaries.run_summary_of(stocks, news, moods, sections["pair_label_counts"])
     tables = {
         "pairs": pairs,
         **sections,
-        "stock_summary": summaries.stock_summary(quotes),
+        "stock_summary": stocks,
         "top_movers": ranking.top_movers(quotes),
-        "news_summary": summaries.news_summary(posts),
+        "news_summary": news,
         "ticker_mentions": summaries.ticker_mentions(posts),
         "price_histogram": feeds.price_histogram(quotes),
         "sentiment_scatter": feeds.sentiment_scatter(pairs),
@@ -94,12 +103,11 @@ def base_workflow(
     }
     if scored is not None:
         tables["scored"] = scored
-        tables["sentiment_summary"] = summaries.sentiment_summary(scored)
+        tables["sentiment_summary"] = moods
         tables["extreme_articles"] = summaries.extreme_articles(scored)
         tables["label_shares"] = feeds.label_shares(scored)
         tables["daily_digest"] = feeds.daily_digest(
-            run, tables["stock_summary"], tables["news_summary"],
-            tables["sentiment_summary"], tables["overall_correlation"],
+            run, stocks, news, moods, tables["overall_correlation"],
         )
     return tables
 
@@ -144,17 +152,19 @@ def research_workflow(pairs: DataFrame, trees: int = models.TREES) -> Research:
 
 
 def matched_tables(matched: DataFrame) -> Tables:
-    """The grouped tables of news matched to returns."""
+    """The grouped tables of news matched to returns: one pass for all but the volumes."""
+    table = materialize(cubes.matched_cube(matched))
     tables = {
-        "sentiment_return": summaries.sentiment_return(matched),
+        "sentiment_return": cubes.sentiment_return(table),
         "volume_analysis": summaries.news_volume(matched),
-        "source_impact": summaries.source_impact(matched),
-        "time_period_analysis": summaries.time_period_impact(matched),
-        "symbol_analysis": summaries.symbol_impact(matched),
-        "sentiment_impact_gap": summaries.sentiment_impact_gap(matched),
+        "source_impact": cubes.source_impact(table),
+        "time_period_analysis": cubes.time_period_impact(table),
+        "symbol_analysis": cubes.symbol_impact(table),
+        "sentiment_impact_gap": cubes.sentiment_impact_gap(table),
+        "matches": cubes.total_matches(table),
     }
     if "event_type" in matched.columns:
-        tables["event_analysis"] = summaries.event_impact(matched)
+        tables["event_analysis"] = cubes.event_impact(table)
     return tables
 
 
@@ -173,13 +183,13 @@ def correlation_report(
     news = with_lexicon_sentiment(clean_articles(articles), words["positive"], words["negative"])
     returns = with_returns(clean_quotes(quotes))
     matched = materialize(match_news_or_default(news, returns, quote_order))
-    found = matched.agg(F.count("*").alias("total_matches"))
+    tables = matched_tables(matched)
     return {
         "matched": matched,
-        **matched_tables(matched),
+        **tables,
         "totals": returns.agg(F.count_distinct("symbol").alias("total_stocks_analyzed")).select(
             "total_stocks_analyzed",
             news.agg(F.count("*")).scalar().alias("total_news_articles"),
-            found.scalar().alias("total_matches"),
+            tables["matches"].scalar().alias("total_matches"),
         ),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from quotewire.operators import (
     cleaning,
+    cubes,
     feeds,
     joins,
     keyed,
@@ -244,6 +245,96 @@ def test_no_match_at_all_keeps_everything(spark, quotes):
     ]
 
 
+def timed_news(spark, *rows_):
+    return spark.createDataFrame(list(rows_), "post_id string, matched_symbol string, at string").select(
+        "post_id", "matched_symbol", F.to_timestamp("at").alias("news_time"),
+        F.to_date(F.to_timestamp("at")).alias("news_date"), F.lit("kept").alias("total_volume"),
+    )
+
+
+def timed_quotes(spark, *rows_):
+    frame = spark.createDataFrame(list(rows_), "symbol string, at string, daily_return double, o int")
+    return frame.select(
+        "symbol", F.to_timestamp("at").alias("stock_time"), "daily_return", F.lit(1.0).alias("total_volume"),
+        F.lit(0.01).alias("price_volatility"), "o",
+    )
+
+
+def test_match_within_a_window_takes_the_nearest_quote(spark):
+    news = timed_news(
+        spark, ("near", "a", "2024-01-02 00:10:00"), ("edge", "a", "2024-01-03 12:00:00"),
+        ("tie", "A", "2024-01-05 12:00:00"), ("far", "a", "2024-02-01 00:00:00"),
+        ("other", "x", "2024-01-02 00:10:00"), ("untimed", "a", None), ("null", None, "2024-01-02 00:10:00"),
+        ("near", "a", "2024-01-02 00:10:00"),
+    )
+    quotes = timed_quotes(
+        spark, ("A", "2024-01-01 23:00:00", 0.1, 1), ("a", "2024-01-02 02:00:00", 0.2, 1),  # over midnight
+        ("a", "2024-01-02 12:00:00", 0.3, 2), ("a", "2024-01-02 12:00:00", 0.4, 1),  # a day before "edge"
+        ("a", "2024-01-05 11:00:00", None, 1), ("a", "2024-01-05 13:00:00", 0.6, 1),
+        ("a", None, 0.9, 1), (None, "2024-01-02 00:10:00", 0.9, 1),
+    )
+    got = joins.match_news_within(news, quotes, ["o"])
+    assert got.columns == ["symbol", "post_id", "matched_symbol", "news_time", "news_date", "daily_return",
+                           "total_volume", "price_volatility", "stock_date", "stock_time"]
+    assert rows(got, "post_id", "symbol", "daily_return", "total_volume") == [
+        ("edge", "A", 0.4, 1.0), ("near", "A", 0.1, 1.0), ("near", "A", 0.1, 1.0), ("tie", "A", 0.0, 1.0)
+    ]
+    assert rows(got.where("post_id = 'tie'").select(F.date_format("stock_time", "HH").alias("h"))) == [("11",)]
+    assert rows(joins.match_news_within(news, quotes, ["o"], "1 hour"), "post_id") == [("tie",)]
+    assert joins.match_news_within(news, quotes.limit(0), ["o"]).count() == 0
+
+
+def test_match_within_same_as_trying_all_quotes(spark):
+    import random
+
+    rng = random.Random(4)
+    when = lambda: f"2024-01-{rng.randrange(1, 6):02d} {rng.randrange(24):02d}:{rng.randrange(60):02d}:00"
+    articles = [(str(i), "hot" if i % 3 else f"s{i % 5}", when()) for i in range(200)]
+    prices = [("HOT" if i % 3 else f"S{i % 5}", when(), float(i), i) for i in range(200)]
+    want = []
+    seconds = lambda t: dt.datetime.fromisoformat(t).timestamp()
+    for post, symbol, at in articles:
+        near = [(abs(seconds(q[1]) - seconds(at)), seconds(q[1]), q[3], q[2]) for q in prices if q[0] == symbol.upper()]
+        near = [n for n in near if n[0] <= 3 * 3600]
+        if near:
+            want.append((post, min(near)[3]))
+    got = joins.match_news_within(timed_news(spark, *articles), timed_quotes(spark, *prices), ["o"], "3 hours")
+    assert rows(got, "post_id", "daily_return") == sorted(want, key=repr) and 50 < len(want)
+
+
+# --- cubes --------------------------------------------------------------------------------
+
+
+def test_a_cube_tells_null_keys_from_absent_ones(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", None, 4.0), (None, 1, 6.0)], "x string, `y z` int, v double")
+    got = cubes.cube(df, [["x"], ["y z"], ["x", "y z"], []], n=F.count("*"), mean=F.avg("v"))
+    assert rows(got, "set", "x", "`y z`", "n", "mean") == sorted([
+        (0, "a", None, 2, 3.0), (0, None, None, 1, 6.0), (1, None, 1, 2, 4.0), (1, None, None, 1, 4.0),
+        (2, "a", 1, 1, 2.0), (2, "a", None, 1, 4.0), (2, None, 1, 1, 6.0), (3, None, None, 3, 4.0),
+    ], key=repr)
+    assert rows(cubes.cube(df.limit(0), [["x"], []], n=F.count("*"))) == []
+
+
+def test_cube_tables_same_as_one_query_each(spark):
+    from quotewire.plans.inputs import Inputs
+
+    t = Inputs(spark, "/root/testdata/sf0.001")
+    matched = t.matched()
+    odd = matched.limit(3).withColumns({c: F.lit(None).cast(matched.schema[c].dataType) for c in
+                                        ("sentiment_label", "source", "symbol", "event_type", "news_time")})
+    matched = matched.unionByName(odd)
+    table = cubes.matched_cube(matched)
+    for name in ("sentiment_return", "source_impact", "time_period_impact", "symbol_impact", "event_impact", "sentiment_impact_gap"):
+        one, other = getattr(cubes, name)(table), getattr(summaries, name)(matched)
+        assert one.columns == other.columns
+        for a, b in zip(rows(one), rows(other), strict=True):
+            assert a == pytest.approx(b) or repr(a) == repr(b)
+    stock = cleaning.clean_stock(t.stock().unionByName(t.stock().where("stockCode = 'S7'")))
+    prices = cubes.stock_cube(stock, "S7")
+    assert rows(cubes.stock_trend(prices)) == rows(cleaning.stock_trend(stock, "S7"))
+    assert len(rows(cubes.daily_stock(prices))) == summaries.daily_stock(stock).count()
+
+
 # --- summaries ----------------------------------------------------------------------------
 
 

@@ -41,3 +41,39 @@ def test_dates_are_reduced_before_they_are_joined(spark):
     text = plan(spark, "join_by_date")
     assert text.index("Join") < text.index("HashAggregate")
     assert text.count("partial_avg") == 2
+
+
+def test_workflows_read_each_input_once(spark, monkeypatch):
+    """What is written on the way scans each input once; what is left scans none."""
+    from quotewire.plans import workflows
+    from quotewire.plans.inputs import Inputs
+
+    written, write = [], workflows.materialize
+    monkeypatch.setattr(workflows, "materialize", lambda df: written.append(df) or write(df))
+    t = Inputs(spark, FOLDER)
+    scans = lambda df, name: df._jdf.queryExecution().optimizedPlan().toString().count("Relation [" + name)
+    tables = workflows.full_workflow(t.news(), t.stock(), "S7")
+    assert [(scans(df, "o_"), scans(df, "l_")) for df in written] == [(1, 0), (0, 1)]
+    assert all(scans(df, "o_") == scans(df, "l_") == 0 for df in tables.values())
+    written.clear()
+    matched = write(t.matched())
+    tables = workflows.matched_tables(matched)
+    assert len(written) == 1
+    sources = [name for name, df in tables.items() if "news_id" in df._jdf.queryExecution().analyzed().toString()]
+    assert sources == ["volume_analysis"]
+
+
+def test_a_run_is_summed_up_without_counting_again(spark):
+    from quotewire.plans import workflows
+    from quotewire.plans.inputs import Inputs
+
+    t = Inputs(spark, FOLDER)
+    tables = workflows.base_workflow(t.quotes(), t.posts())
+    plan = tables["run_summary"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "s_suppkey" not in plan and "text" not in plan
+    assert tables["run_summary"].first()["stocks_crawled"] == t.quotes().count()
+
+
+def test_market_days_are_counted_from_the_days(spark):
+    text = plan(spark, "market_daily")
+    assert text.count("FileScan") <= 2 and text.count("Window") <= 2 * text.count("FileScan")

@@ -1,4 +1,4 @@
-"""Forest models of the next price move and clusters of symbols (MLlib)."""
+"""Forest models of the next price move (MLlib)."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -29,11 +28,6 @@ MIN_MODEL_ROWS = 50
 TREES = 100
 TRAIN_PERCENT = 80
 SEED = 42
-CLUSTER_FEATURES = ("sentiment_score", "daily_change_percent", "news_count")
-CLUSTERS = 4
-ELBOW = range(2, 8)
-RESTARTS = 10
-ITERATIONS = 300
 #: MLlib grows trees level by level, with a pass over the rows for each few hundred open
 #: nodes, and the driver holds the trees. ``depth=30``, its greatest, leaves trees in
 #: effect unlimited, at a cost of up to twice as many nodes a tree as training rows.
@@ -187,60 +181,6 @@ def feature_importance(df: DataFrame, classifier, regressor) -> DataFrame:
     ).orderBy(F.desc("importance_classification"), "feature")
 
 
-# --- clusters -------------------------------------------------------------------------
-
-
-def scaled_cluster_features(features: DataFrame) -> DataFrame:
-    """Cluster features with mean 0 and population deviation 1 (a constant gives 0)."""
-    stats = features.agg(*[
-        f(c).alias(f"{c}_{p}")
-        for c in CLUSTER_FEATURES
-        for f, p in ((F.avg, "mean"), (F.stddev_pop, "sd"))
-    ])
-    scaled = features.withColumn("_stats", stats.select(F.struct("*")).scalar())
-
-    def standard(c: str) -> Column:
-        z = F.try_divide(F.col(c) - F.col(f"_stats.{c}_mean"), F.col(f"_stats.{c}_sd"))
-        return F.coalesce(z, F.lit(0.0)).alias(f"{c}_z")
-
-    columns = [standard(c) for c in CLUSTER_FEATURES]
-    scaled = scaled.where(not_null(*CLUSTER_FEATURES)).select(*features.columns, *columns)
-    return VectorAssembler(
-        inputCols=[f"{c}_z" for c in CLUSTER_FEATURES], outputCol="features"
-    ).transform(scaled)
-
-
-def _best_fit(points: DataFrame, k: int, restarts: int) -> KMeansModel:
-    fits = [
-        KMeans(k=k, seed=SEED + i, maxIter=ITERATIONS, predictionCol="cluster").fit(points)
-        for i in range(restarts)
-    ]
-    return min(fits, key=lambda m: m.summary.trainingCost)
-
-
-def kmeans_elbow(features: DataFrame, ks=ELBOW, restarts: int = RESTARTS) -> DataFrame:
-    """Inertia for every number of clusters."""
-    points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
-    rows = [(k, float(_best_fit(points, k, restarts).summary.trainingCost)) for k in ks]
-    return features.sparkSession.createDataFrame(rows, "k int, inertia double")
-
-
-def kmeans_symbols(features: DataFrame, k: int = CLUSTERS, restarts: int = RESTARTS) -> DataFrame:
-    """Cluster features with the cluster of each symbol."""
-    points = _in_order(materialize(scaled_cluster_features(features)), "stock_symbol")
-    return _best_fit(points, k, restarts).transform(points).drop("features")
-
-
-def cluster_profile(clusters: DataFrame) -> DataFrame:
-    """Size and means of each cluster. Its members are the rows of ``clusters``."""
-    return clusters.groupBy("cluster").agg(
-        F.count("*").alias("count"),
-        F.avg("sentiment_score").alias("avg_sentiment"),
-        F.avg("daily_change_percent").alias("avg_performance"),
-        F.avg("news_count").alias("avg_news_count"),
-    )
-
-
 def scaled_values(scaled: DataFrame) -> DataFrame:
     """The scaled feature vector as plain columns."""
     values = vector_to_array("features")

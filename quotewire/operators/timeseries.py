@@ -87,8 +87,9 @@ def market_daily(series: DataFrame, min_days: int = MIN_DAYS) -> DataFrame:
         F.avg("price_change_1d").alias("price_change_1d"),
         F.sum("news_count").alias("news_count"),
     )
-    # Counted over the days, whose shuffle Spark reuses; the series is worked out once.
-    return days.where(days.agg(F.count("date")).scalar() >= min_days)
+    # Counted by a window over the days, a row each, so the series is worked out once.
+    counted = days.withColumn("_days", F.count("date").over(W.partitionBy()))
+    return counted.where(F.col("_days") >= min_days).drop("_days")
 
 
 def symbol_recent(

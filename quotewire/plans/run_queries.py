@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.operators import causality, models, stats, summaries, timeseries
+from quotewire.operators import causality, clusters, models, stats, summaries, timeseries
 from quotewire.operators.joins import integrate
 from quotewire.operators.pages import build_chunks
 from quotewire.operators.sentiment import lexicon_scorer, score_articles
@@ -339,17 +339,60 @@ def feature_importance(t: Inputs) -> DataFrame:
 
 @query("kmeans_elbow")
 def kmeans_elbow(t: Inputs) -> DataFrame:
-    return models.kmeans_elbow(summaries.cluster_features(t.pairs()))
+    return clusters.kmeans_elbow(summaries.cluster_features(t.pairs()))
 
 
 @query("kmeans_symbols")
 def kmeans_symbols(t: Inputs) -> DataFrame:
-    return models.kmeans_symbols(summaries.cluster_features(t.pairs()))
+    return clusters.kmeans_symbols(summaries.cluster_features(t.pairs()))
 
 
 @query("cluster_profile")
 def cluster_profile(t: Inputs) -> DataFrame:
-    return models.cluster_profile(models.kmeans_symbols(summaries.cluster_features(t.pairs())))
+    return clusters.cluster_profile(clusters.kmeans_symbols(summaries.cluster_features(t.pairs())))
+
+
+_Z_SQL = ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_z" for c in clusters.CLUSTER_FEATURES
+)
+
+
+@query(
+    "kmeans_settled",
+    sql(
+        rounded(
+            f"""SELECT stock_symbol, {_Z_SQL}, true AS nearest, true AS settled FROM (
+                SELECT stock_symbol, avg(sentiment_score) AS sentiment_score,
+                    avg(daily_change_percent) AS daily_change_percent, count(*) AS news_count
+                FROM pairs GROUP BY stock_symbol)""",
+            *[f"{c}_z" for c in clusters.CLUSTER_FEATURES],
+        ),
+        "pairs",
+    ),
+)
+def kmeans_settled(t: Inputs) -> DataFrame:
+    """What must hold of clusters: every symbol is nearest to the mean of its own.
+
+    ``nearest`` compares a symbol with the means of all clusters, worked out from the
+    members; ``settled`` that there are four and the fit's inertia is that of its members.
+    """
+    points = materialize(clusters.scaled_cluster_features(summaries.cluster_features(t.pairs())))
+    fits = clusters.fit(points, [clusters.CLUSTERS], restarts=1, tolerance=0.0)
+    members = clusters.assigned(points, fits.centres[clusters.CLUSTERS])
+    z = [f"{c}_z" for c in clusters.CLUSTER_FEATURES]
+    means = members.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in z])
+    listed = means.agg(F.collect_list(F.struct("cluster", *z))).scalar()  # four of them
+    away = lambda m: sum((F.col(c) - m[c]) ** 2 for c in z)
+    told = members.withColumn("_means", listed)
+    own = F.filter("_means", lambda m: m["cluster"] == F.col("cluster"))[0]
+    told = told.withColumns({
+        "_own": away(own), "_least": F.array_min(F.transform("_means", away)), "_n": F.size("_means")
+    })
+    total = told.agg(F.sum("_own")).scalar()
+    settled = (F.col("_n") == clusters.CLUSTERS) & (F.abs(total - fits.inertia[clusters.CLUSTERS]) < 1e-6 * total)
+    return told.select(
+        "stock_symbol", *z, (F.col("_own") <= F.col("_least") + 1e-9).alias("nearest"), settled.alias("settled")
+    )
 
 
 # --- models of frames whose answer is known ----------------------------------------------
@@ -433,7 +476,7 @@ _BANDED = """
         CASE WHEN p_partkey % 4 < 2 THEN -5.0 ELSE 5.0 END::DOUBLE + p_partkey // 4 % 5 / 256 AS daily_change_percent,
         CAST(CASE WHEN p_partkey % 4 IN (0, 3) THEN 10 ELSE 90 END AS BIGINT) AS news_count FROM part"""
 _BANDED_Z = ", ".join(
-    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(models.CLUSTER_FEATURES)
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS z{i}" for i, c in enumerate(clusters.CLUSTER_FEATURES)
 )
 
 
@@ -442,7 +485,7 @@ _BANDED_Z = ", ".join(
     f"SELECT stock_symbol, min(stock_symbol) OVER (PARTITION BY band) AS first_member FROM ({_BANDED})",
 )
 def kmeans_symbols_bands(t: Inputs) -> DataFrame:
-    found = models.kmeans_symbols(_banded_features(t)).select("stock_symbol", "cluster")
+    found = clusters.kmeans_symbols(_banded_features(t)).select("stock_symbol", "cluster")
     first = found.groupBy("cluster").agg(F.min("stock_symbol").alias("first_member"))
     return found.join(first, "cluster").drop("cluster")
 
@@ -460,7 +503,7 @@ _PROFILE = ("avg_sentiment", "avg_performance", "avg_news_count")
     ),
 )
 def cluster_profile_bands(t: Inputs) -> DataFrame:
-    return models.cluster_profile(models.kmeans_symbols(_banded_features(t))).drop("cluster")
+    return clusters.cluster_profile(clusters.kmeans_symbols(_banded_features(t))).drop("cluster")
 
 
 @query(
@@ -474,7 +517,7 @@ def cluster_profile_bands(t: Inputs) -> DataFrame:
 )
 def kmeans_elbow_bands(t: Inputs) -> DataFrame:
     """The inertia at the right number of clusters, which has a closed form."""
-    return models.kmeans_elbow(_banded_features(t), ks=(models.CLUSTERS,))
+    return clusters.kmeans_elbow(_banded_features(t), ks=(clusters.CLUSTERS,))
 
 
 _FINDINGS = f"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire.functions.labels import NEGATIVE_WORDS, POSITIVE_WORDS
-from quotewire.operators import causality, cubes, feeds, models, ranking, stats, summaries, timeseries
+from quotewire.operators import causality, clusters, cubes, feeds, models, ranking, stats, summaries, timeseries
 from quotewire.operators.cleaning import (
     clean_articles,
     clean_news,
@@ -129,15 +129,15 @@ def research_workflow(pairs: DataFrame, trees: int = models.TREES) -> Research:
     pairs = materialize(pairs)
     series = materialize(timeseries.time_series_features(pairs))
     forests = models.build_prediction_models(series, trees)
-    clusters = materialize(models.kmeans_symbols(summaries.cluster_features(pairs)))
+    members = materialize(clusters.kmeans_symbols(summaries.cluster_features(pairs)))
     correlation = stats.sentiment_price_corr(summaries.symbol_groups(pairs))
     tables = {
         "time_series": series,
         "market_daily": timeseries.market_daily(series),
         "top_mentioned_stocks": ranking.top_mentioned_stocks(pairs, 5),
         "granger": causality.granger(series),
-        "kmeans_symbols": clusters,
-        "cluster_profile": models.cluster_profile(clusters),
+        "kmeans_symbols": members,
+        "cluster_profile": clusters.cluster_profile(members),
         "sector_daily": timeseries.sector_daily(pairs),
         "symbol_topic_edges": feeds.symbol_topic_edges(pairs),
         "graph_nodes": feeds.graph_nodes(pairs),

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quotewire.operators import causality, models
+from quotewire.operators import causality, clusters, models
 
 
 # --- Granger ------------------------------------------------------------------------------
@@ -192,27 +192,64 @@ def features(spark):
 
 
 def test_clusters(features):
-    clusters = models.kmeans_symbols(features, restarts=5)
-    frame = clusters.toPandas()
+    found = clusters.kmeans_symbols(features, restarts=5)
+    frame = found.toPandas()
     assert len(frame) == 46
     true = frame["stock_symbol"].str[1]
     assert frame.groupby(true)["cluster"].nunique().eq(1).all()
-    z = frame[[f"{c}_z" for c in models.CLUSTER_FEATURES]]
+    z = frame[[f"{c}_z" for c in clusters.CLUSTER_FEATURES]]
     assert np.allclose(z.mean(), 0) and np.allclose(z.std(ddof=0), 1)
-    profile = models.cluster_profile(clusters).toPandas()
+    profile = clusters.cluster_profile(found).toPandas()
     assert sorted(profile["count"]) == [10, 11, 12, 13]
-    assert rows(models.kmeans_symbols(features, restarts=5), "stock_symbol", "cluster") == rows(
-        clusters, "stock_symbol", "cluster"
+    assert rows(clusters.kmeans_symbols(features, restarts=5), "stock_symbol", "cluster") == rows(
+        found, "stock_symbol", "cluster"
     )
 
 
 def test_elbow(features):
-    inertia = [r["inertia"] for r in models.kmeans_elbow(features, restarts=5).orderBy("k").collect()]
+    inertia = [r["inertia"] for r in clusters.kmeans_elbow(features, restarts=5).orderBy("k").collect()]
     assert len(inertia) == 6
     assert inertia[0] > inertia[1] > inertia[2]
     assert inertia[2] < 1e-2 * inertia[0]
 
 
 def test_constant_feature_scales_to_zero(features):
-    flat = models.scaled_cluster_features(features.withColumn("news_count", F.lit(5)))
+    flat = clusters.scaled_cluster_features(features.withColumn("news_count", F.lit(5)))
     assert rows(flat.select("news_count_z").distinct()) == [(0.0,)]
+
+
+def test_all_models_step_together_as_one_by_one(spark):
+    """The joint steps end where plain Lloyd's steps from the same first centres end."""
+    rng = np.random.default_rng(2)
+    z = rng.normal(size=(300, 3)) + rng.integers(0, 3, (300, 1)) * 2
+    frame = pd.DataFrame(z, columns=[f"{c}_z" for c in clusters.CLUSTER_FEATURES])
+    frame["stock_symbol"] = [f"S{i}" for i in range(300)]
+    points = spark.createDataFrame(frame)
+    coded = points.withColumn("_code", F.xxhash64(F.lit(clusters.SEED), "stock_symbol", *clusters._Z))
+    ks = [2, 3, 5]
+    first = clusters._seeded(coded.repartition(5), np.repeat(ks, 4))
+    assert np.array_equal(first, clusters._seeded(coded.coalesce(1), np.repeat(ks, 4)), equal_nan=True)
+    best = {}
+    for k, centres in zip(np.repeat(ks, 4), first):
+        own = centres[:k]
+        assert all((z == c).all(1).any() for c in own) and len(np.unique(own, axis=0)) == k
+        for _ in range(300):
+            near = ((z[:, None] - own) ** 2).sum(-1).argmin(1)
+            own = np.array([z[near == i].mean(0) for i in range(k)])
+        inertia = ((z - own[near]) ** 2).sum()
+        best[k] = min(best.get(k, np.inf), inertia)
+    fits = clusters.fit(points.repartition(3), ks, restarts=4, tolerance=0.0)
+    assert fits.inertia == pytest.approx(best)
+    members = clusters.assigned(points, fits.centres[3]).toPandas()
+    assert sorted(members["cluster"].unique()) == [0, 1, 2]
+    means = members.groupby("cluster")[clusters._Z].mean().to_numpy()
+    assert np.allclose(means, fits.centres[3])
+
+
+def test_more_clusters_than_points_and_no_points(spark, features):
+    few = features.limit(3)
+    assert clusters.kmeans_symbols(few, k=4, restarts=2).count() == 3
+    assert clusters.kmeans_symbols(features.limit(0)).count() == 0
+    assert clusters.kmeans_elbow(features.limit(0)).count() == 0
+    same = features.withColumns({c: F.lit(1.0) for c in clusters.CLUSTER_FEATURES})
+    assert rows(clusters.kmeans_symbols(same, restarts=2).select("cluster").distinct()) == [(0,)]

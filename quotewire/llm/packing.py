@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -147,37 +146,39 @@ def pieces(
 
     A document's ids are its text's and then ``end_id``; a null text is empty. It is cut
     into pieces of ``length`` ids and a last one. ``_spot`` is a random number that depends
-    on the document's id only, and on how often a task has met the id before.
+    on the document's id, its row's place in the task and ``start``, so rows that repeat an
+    id are spread too; how a table is stored thus decides which documents share a sequence.
     """
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, met = _WordIds(shared.value), Counter()
+        encoder, met = _WordIds(shared.value), 0
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, counts = encoder.encode(part["text"].cast(pa.binary()).to_pylist())
-                ends = np.cumsum(counts)
-                row, start, size, code = [], [], [], []
-                for i, (n, end) in enumerate(zip(counts, ends)):
-                    own = np.append(ids[end - n : end], np.uint32(end_id)).astype("<u4").tobytes()
-                    for at in range(0, n + 1, length):
-                        row.append(i)
-                        start.append(at)
-                        size.append(min(length, n + 1 - at))
-                        code.append(zlib.crc32(own[4 * at : 4 * (at + length)]))
-                again = []
-                for key in part["_key"].to_pylist():
-                    again.append(met[key])
-                    if len(met) < CACHE_WORDS or key in met:
-                        met[key] += 1
+                sizes = counts + 1
+                ends = np.cumsum(sizes)
+                flat = np.full(int(ends[-1]), end_id, "<u4")
+                inside = np.ones(len(flat), bool)
+                inside[ends - 1] = False
+                flat[inside] = ids
+                n_pieces = -(-sizes // length)
+                row = np.repeat(np.arange(len(sizes)), n_pieces)
+                start = ranges(np.zeros(len(sizes), np.int64), n_pieces) * length
+                size = np.minimum(length, sizes[row] - start)
+                first = 4 * ((ends - sizes)[row] + start)
+                data = memoryview(flat).cast("B")
+                code = [zlib.crc32(data[a:b]) for a, b in zip(first.tolist(), (first + 4 * size).tolist())]
                 keys = part["_key"].to_numpy().view(np.uint64)
-                spots = mix(keys + mix(np.array(again, np.uint64)))[row]
-                spots = mix(spots + np.array(start, np.uint64)).view(np.int64)
+                again = np.arange(met, met + part.num_rows).astype(np.uint64)
+                met += part.num_rows
+                spots = mix(keys + mix(again))[row]
+                spots = mix(spots + start.astype(np.uint64)).view(np.int64)
                 yield pa.record_batch(
                     [
                         part["doc_id"].take(pa.array(row)), pa.array(start, pa.int64()),
                         pa.array(size, pa.int64()), pa.array(code, pa.int64()),
-                        pa.array(counts[row] + 1), pa.array(spots),
+                        pa.array(sizes[row], pa.int64()), pa.array(spots),
                     ],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_spot"],
                 )

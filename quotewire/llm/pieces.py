@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -267,9 +267,42 @@ def _groups(words: list[bytes], most: int) -> Iterator[list[bytes]]:
     yield group
 
 
+def _runs(text: bytes, cut: Callable[[bytes], list[bytes]]) -> list[bytes]:
+    """Runs of a text with a blank in front: words with the blanks before them, line ends, blanks."""
+    text = b" " + text
+    if b"  " in text:
+        return cut(text)
+    out: list[bytes] = []
+    for n, line in enumerate(text.split(b"\n")):
+        if n:
+            out.append(b"\n")
+        head, *rest = line.split(b" ")
+        if head:
+            out.append(head)
+        out += [b" " + word for word in rest]
+    return out
+
+
+class _Decoder:
+    """Texts of lists of ids, which lie end to end."""
+
+    def __init__(self, pieces: Sequence[tuple[bytes, int]]):
+        names = [name if kind != 2 else b"" for name, kind in pieces]
+        self.lengths = np.array([len(n) for n in names])
+        self.starts, self.flat = np.cumsum(self.lengths) - self.lengths, np.frombuffer(b"".join(names), np.uint8)
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray, valid: np.ndarray) -> pa.Array:
+        lengths = self.lengths[ids]
+        data = self.flat[ranges(self.starts[ids], lengths)].tobytes()
+        ends = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(counts))]
+        return pa.array([
+            data[a + 1 : b].decode("utf-8") if known else None for a, b, known in zip(ends, ends[1:], valid)
+        ], pa.string())
+
+
 def encode(
     docs: DataFrame, pieces: Sequence[tuple[bytes, int]], key: str = "doc_id", seed: int = 0,
-    sharpness: float = SHARPNESS, keep_text: bool = False,
+    sharpness: float = SHARPNESS, keep_text: bool = False, with_decoded: bool = False,
 ) -> DataFrame:
     """``docs`` with ``ids``: one sampled segmentation of each whole text.
 
@@ -277,20 +310,21 @@ def encode(
     on the row's ``key``, the seed, the place and the text only; equal rows get equal ids.
     Runs without blanks or line ends are sampled from the lattice of the whole run, however
     long; no piece of the model may cross from one to the next. A null text has no ids, like
-    no other; an empty one has the blank's. A column ``ids`` is replaced.
+    no other; an empty one has the blank's. A column ``ids`` is replaced. ``with_decoded``
+    adds what :func:`decode` would, from the ids, in the same pass over the rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(list(pieces))
     keyed = docs.withColumn("_key", F.xxhash64(F.lit(seed), F.col(key)))
 
     def make():
-        lattices = _Lattices(shared.value, sharpness)
+        lattices, decoder = _Lattices(shared.value, sharpness), _Decoder(shared.value)
         cut = re.compile(rb" *[^ \n]+|\n| +").findall
 
         def ids(part: pa.RecordBatch) -> list[pa.Array]:
             if len(lattices.words) > CACHE_WORDS:
                 lattices.clear()
             texts = part["text"].cast(pa.binary()).to_pylist()
-            words = [cut(b" " + t) if t is not None else [] for t in texts]
+            words = [_runs(t, cut) if t is not None else [] for t in texts]
             known, number = len(lattices.words), lattices.words.__getitem__
             long = [max(map(len, own), default=0) > MAX_WORD for own in words]
             if any(long):
@@ -325,13 +359,16 @@ def encode(
             of_word = np.append(0, np.cumsum(counts))
             offsets = of_word[np.append(0, np.cumsum(n_words))]
             nulls = np.append(np.asarray(part["text"].is_null()), False)
+            texts = [decoder.texts(found, np.diff(offsets), ~nulls[:-1])] if with_decoded else []
             offsets = pa.array(offsets, pa.int32(), mask=nulls)
-            return [pa.ListArray.from_arrays(offsets, pa.array(found, pa.int32()))]
+            return [pa.ListArray.from_arrays(offsets, pa.array(found, pa.int32())), *texts]
 
         return ids
 
-    field = T.StructField("ids", T.ArrayType(T.IntegerType()))
-    return append_columns(keyed, make, [field], keep_text, slice_bytes=1 << 20).drop("_key")
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if with_decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    return append_columns(keyed, make, fields, keep_text, slice_bytes=1 << 20).drop("_key")
 
 
 def decode(rows: DataFrame, pieces: Sequence[tuple[bytes, int]], ids: str = "ids") -> DataFrame:
@@ -339,31 +376,19 @@ def decode(rows: DataFrame, pieces: Sequence[tuple[bytes, int]], ids: str = "ids
 
     Undoes :func:`encode` exactly. Control pieces stand for nothing.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(
-        [name if kind != 2 else b"" for name, kind in pieces]
-    )
+    shared = rows.sparkSession.sparkContext.broadcast(list(pieces))
     kept = [f for f in rows.schema.fields if f.name != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = shared.value
-        lengths = np.array([len(n) for n in names])
-        starts, flat = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(names), np.uint8)
+        decoder = _Decoder(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 lists = part[ids]
                 counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
-                own = lists.flatten().to_numpy()
-                data = flat[ranges(starts[own], lengths[own])].tobytes()
-                ends = np.append(0, np.cumsum(lengths[own]))[np.append(0, np.cumsum(counts))]
-                texts = [
-                    data[a + 1 : b].decode("utf-8") if known else None
-                    for a, b, known in zip(ends, ends[1:], np.asarray(lists.is_valid()))
-                ]
+                texts = decoder.texts(lists.flatten().to_numpy(), counts, np.asarray(lists.is_valid()))
                 columns = [part[f.name] for f in kept]
-                yield pa.record_batch(
-                    [*columns, pa.array(texts, pa.string())], names=[*[f.name for f in kept], "decoded"]
-                )
+                yield pa.record_batch([*columns, texts], names=[*[f.name for f in kept], "decoded"])
 
     schema = T.StructType([*kept, T.StructField("decoded", T.StringType())])
     return rows.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)

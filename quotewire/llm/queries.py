@@ -115,7 +115,7 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     docs = _table(spark, folder, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
-    decoded = pieces.decode(pieces.encode(docs, model), model)
+    decoded = pieces.encode(docs, model, with_decoded=True)
     return decoded.select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
         F.crc32("decoded").alias("decoded_crc32"),

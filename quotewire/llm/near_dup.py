@@ -43,6 +43,7 @@ FIRST_TRIES = 6
 IDF_BITS = 16
 CHUNK = 1024
 _TABLE = 1 << 16
+_BLOCK = 512  # shingles drawn from at once, so that the cells stay in the processor's cache
 _PAIRS = 1 << 18
 
 
@@ -113,13 +114,20 @@ class _Sampler:
         """For each sample the number of the chosen shingle and its level, in 64 bits."""
         best = np.full(len(self.odd), np.inf, np.float32)
         out = np.zeros(len(self.odd), U64)
-        rows = np.arange(len(self.odd))
-        for at in range(0, len(keys), 4096):
-            own = keys[at : at + 4096]
-            cell = ((own[None, :] * self.odd[:, None]) >> U64(48)).astype(np.int32)
-            r = self.r[cell]
-            level = np.floor(np.log(weights[at : at + 4096]).astype(np.float32) / r + self.beta[cell])
-            cost = self.log_c[cell] - r * (level - self.beta[cell] + np.float32(1))
+        rows, logs = np.arange(len(self.odd)), np.log(weights).astype(np.float32)
+        for at in range(0, len(keys), _BLOCK):
+            own = keys[at : at + _BLOCK]
+            cell = own[None, :] * self.odd[:, None]
+            cell >>= U64(48)
+            cell = cell.astype(np.intp)
+            r, beta, cost = self.r.take(cell), self.beta.take(cell), self.log_c.take(cell)
+            level = logs[at : at + _BLOCK] / r
+            level += beta
+            np.floor(level, out=level)
+            np.subtract(level, beta, out=beta)
+            beta += np.float32(1)
+            beta *= r
+            cost -= beta
             pick = cost.argmin(1)
             least = cost[rows, pick]
             better = least < best

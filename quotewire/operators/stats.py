@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 CORRELATION_LEVEL = 0.3
 STRATEGY_LEVEL = 0.4
 ACCURACY_LEVEL = 0.6
+STRONG_POSITIVE_TEXT = "Strong positive correlation (%.3f) between news sentiment and stock performance"
+STRONG_NEGATIVE_TEXT = "Strong negative correlation (%.3f) between news sentiment and stock performance"
+WEAK_TEXT = "Weak correlation (%.3f) between news sentiment and stock performance"
+ACCURACY_TEXT = "Sentiment-based prediction model achieved %.1f%% accuracy"
 MOMENTUM_TEXT = (
     "Consider sentiment momentum strategy: "
     "Buy stocks with consistently positive news sentiment"
@@ -81,11 +85,10 @@ def report_findings(
             "n": model.select("sample_size").scalar(),
         })
     c = F.coalesce("c", F.lit(0.0))
-    shown = F.format_string("(%.3f) between news sentiment and stock performance", c)
     strength = (
-        F.when(c > CORRELATION_LEVEL, "Strong positive correlation")
-        .when(c < -CORRELATION_LEVEL, "Strong negative correlation")
-        .otherwise("Weak correlation")
+        F.when(c > CORRELATION_LEVEL, F.format_string(STRONG_POSITIVE_TEXT, c))
+        .when(c < -CORRELATION_LEVEL, F.format_string(STRONG_NEGATIVE_TEXT, c))
+        .otherwise(F.format_string(WEAK_TEXT, c))
     )
     mood = (
         F.when(c > CORRELATION_LEVEL, "positive")
@@ -94,14 +97,14 @@ def report_findings(
     strategy = F.when(c > STRATEGY_LEVEL, MOMENTUM_TEXT).when(c < -STRATEGY_LEVEL, CONTRARIAN_TEXT)
     accurate = F.when(
         F.col("accuracy") > ACCURACY_LEVEL,
-        F.format_string("Sentiment-based prediction model achieved %.1f%% accuracy", F.col("accuracy") * 100),
+        F.format_string(ACCURACY_TEXT, F.col("accuracy") * 100),
     )
     rows = [
         ("sample_size", "stocks_analyzed", F.col("stocks").cast("string")),
         ("sample_size", "news_articles", F.col("articles").cast("string")),
         ("sample_size", "prediction_sample_size", F.col("n").cast("string")),
         ("executive_summary", "market_sentiment", mood),
-        ("key_findings", "correlation", F.concat_ws(" ", strength, shown)),
+        ("key_findings", "correlation", strength),
         ("key_findings", "prediction", accurate),
         ("trading_strategies", "strategy", strategy),
         ("monitoring_alerts", "alert", F.lit(MONITORING_TEXT)),

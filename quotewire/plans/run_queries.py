@@ -527,24 +527,34 @@ _FINDINGS = f"""
             FROM pairs GROUP BY stock_symbol)) AS c FROM pairs"""
 
 
+def _shown_sql(template: str) -> str:
+    """A text with the correlation in its place."""
+    return "'" + template.replace("%.3f", "' || format('{:.3f}', c) || '") + "'"
+
+
+_ENTRIES = [
+    ("sample_size", "stocks_analyzed", "CAST(stocks AS VARCHAR)"),
+    ("sample_size", "news_articles", "CAST(articles AS VARCHAR)"),
+    ("sample_size", "prediction_sample_size", "'0'"),
+    ("executive_summary", "market_sentiment",
+     "CASE WHEN c > 0.3 THEN 'positive' WHEN c < -0.3 THEN 'negative' ELSE 'neutral' END"),
+    ("key_findings", "correlation",
+     f"""CASE WHEN c > 0.3 THEN {_shown_sql(stats.STRONG_POSITIVE_TEXT)}
+         WHEN c < -0.3 THEN {_shown_sql(stats.STRONG_NEGATIVE_TEXT)} ELSE {_shown_sql(stats.WEAK_TEXT)} END"""),
+    ("trading_strategies", "strategy",
+     f"CASE WHEN c > 0.4 THEN '{stats.MOMENTUM_TEXT}' WHEN c < -0.4 THEN '{stats.CONTRARIAN_TEXT}' END"),
+    ("monitoring_alerts", "alert", f"'{stats.MONITORING_TEXT}'"),
+    ("research_directions", "direction", f"'{stats.RESEARCH_TEXT}'"),
+]
+
+
 @query(
     "report_findings",
     sql(
-        f"""SELECT unnest(entries, recursive := true) FROM (SELECT [
-            {{'section': 'sample_size', 'item': 'stocks_analyzed', 'text': CAST(stocks AS VARCHAR)}},
-            {{'section': 'sample_size', 'item': 'news_articles', 'text': CAST(articles AS VARCHAR)}},
-            {{'section': 'sample_size', 'item': 'prediction_sample_size', 'text': '0'}},
-            {{'section': 'executive_summary', 'item': 'market_sentiment', 'text': CASE
-                WHEN c > 0.3 THEN 'positive' WHEN c < -0.3 THEN 'negative' ELSE 'neutral' END}},
-            {{'section': 'key_findings', 'item': 'correlation', 'text': CASE
-                WHEN c > 0.3 THEN 'Strong positive' WHEN c < -0.3 THEN 'Strong negative'
-                ELSE 'Weak' END || ' correlation (' || format('{{:.3f}}', c)
-                || ') between news sentiment and stock performance'}},
-            {{'section': 'monitoring_alerts', 'item': 'alert', 'text':
-                'Monitor stocks with high sentiment volatility for potential trading opportunities'}},
-            {{'section': 'research_directions', 'item': 'direction', 'text':
-                'Further investigate lag effects between sentiment peaks and price movements'}}
-            ] AS entries FROM ({_FINDINGS}) WHERE abs(c) <= 0.4)""",
+        " UNION ALL ".join(
+            f"SELECT '{section}' AS section, '{item}' AS item, {text} AS text FROM ({_FINDINGS}) WHERE {text} IS NOT NULL"
+            for section, item, text in _ENTRIES
+        ),
         "pairs",
     ),
 )

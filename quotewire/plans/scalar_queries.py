@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire import functions as fn
+from quotewire.functions.symbols import KEYWORD_SYMBOLS, OTHER_SECTOR, SECTOR_SYMBOLS
 from quotewire.functions.text import strip
 from quotewire.plans.catalog import query, rounded
 from quotewire.plans.inputs import NEGATIVE, POSITIVE, Inputs, sql
@@ -247,12 +248,7 @@ def first_symbol(t: Inputs) -> DataFrame:
 
 _WORD = r"\p{L}\p{N}_"
 KEYWORDS_SQL = " ".join(
-    f"WHEN contains(lower(whole), '{word}') THEN '{symbol}'"
-    for word, symbol in (
-        ("nvidia", "NVDA"), ("kenvue", "KVUE"), ("bonk", "BONK"), ("solana", "SOL"),
-        ("bitcoin", "BTC"), ("ethereum", "ETH"), ("tesla", "TSLA"), ("apple", "AAPL"),
-        ("microsoft", "MSFT"), ("google", "GOOGL"), ("amazon", "AMZN"), ("meta", "META"),
-    )
+    f"WHEN contains(lower(whole), '{word}') THEN '{symbol}'" for word, symbol in KEYWORD_SYMBOLS.items()
 )
 FROM_TEXT_SQL = f"""CASE {KEYWORDS_SQL} ELSE coalesce(
     nullif(regexp_extract(whole, '\\$([A-Z]{{1,5}})(?:$|[^{_WORD}])', 1), ''),
@@ -359,10 +355,8 @@ def _sector_sql(symbol: str) -> str:
     def any_of(*parts: str) -> str:
         return " OR ".join(f"contains({symbol}, '{p}')" for p in parts)
 
-    return f"""CASE WHEN {any_of("AAPL", "MSFT", "GOOGL", "META", "NVDA")} THEN 'Technology'
-        WHEN {any_of("JPM", "BAC", "WFC", "C", "GS")} THEN 'Finance'
-        WHEN {any_of("PFE", "JNJ", "MRK", "ABBV", "UNH")} THEN 'Healthcare'
-        WHEN {any_of("AMZN", "WMT", "PG", "KO", "PEP")} THEN 'Consumer' ELSE 'Other' END"""
+    cases = " ".join(f"WHEN {any_of(*members)} THEN '{sector}'" for sector, members in SECTOR_SYMBOLS.items())
+    return f"CASE {cases} ELSE '{OTHER_SECTOR}' END"
 
 
 _SECTOR_SYMBOL = """CASE p_partkey % 6 WHEN 0 THEN 'AAPL' WHEN 1 THEN 'JPM' WHEN 2 THEN 'PFE'

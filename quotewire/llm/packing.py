@@ -11,7 +11,6 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +85,8 @@ class _WordIds:
             return None
         if level["add_prefix_space"] or level["use_regex"]:
             return None
+        import regex
+
         return regex.compile(" |" + cut["pattern"]["Regex"])
 
     def _clear(self) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +41,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def word_bpe() -> str:
     """The definition of the public word-level BPE, read on the driver."""
+    import public_tokenizers  # here, so that the other queries do without it
+
     return Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
 
 
@@ -113,6 +114,8 @@ def op10_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     docs = _table(spark, folder, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
     decoded = pieces.encode(docs, model, with_decoded=True)

@@ -157,3 +157,21 @@ def test_query_on_the_given_documents(spark):
     rows = QUERIES["op9_pieces"](spark, folder).collect()
     assert len(rows) == spark.read.parquet(f"{folder}/documents.parquet").count()
     assert all(r["lossless"] and r["n_ids"] == len(r["ids"]) > 0 for r in rows)
+
+
+def test_runs_same_as_by_pattern():
+    import re
+
+    cut, rng = re.compile(rb" *[^ \n]+|\n| +").findall, random.Random(2)
+    for _ in range(5000):
+        text = "".join(rng.choice(" \nabé\t") for _ in range(rng.randrange(12))).encode()
+        assert pieces._runs(text, cut) == cut(b" " + text)
+
+
+def test_decoding_in_the_same_pass(spark):
+    texts = [(1, "ab c\n\nabc  b"), (2, ""), (3, None), (4, "é\n"), (4, " x" * 400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    both = pieces.encode(docs, SMALL, with_decoded=True, keep_text=True).collect()
+    assert all(r["decoded"] == r["text"] for r in both) and len(both) == 5
+    apart = pieces.decode(pieces.encode(docs, SMALL), SMALL)
+    assert sorted(map(repr, apart.collect())) == sorted(repr(r) for r in pieces.encode(docs, SMALL, with_decoded=True).collect())

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quotewire.llm import lang_id, near_dup, packing, substring, toxicity
 from quotewire.llm.folds import held_out
 from quotewire.llm.queries import word_bpe
+from quotewire.llm.words import set_aside
 from quotewire.session import materialize
 
 #: A language below this probability counts as not recognised.
@@ -21,12 +22,10 @@ LEAST_LANGUAGE = 0.5
 LEAST_TOXIC = 0.7
 
 
-def _filtered(docs: DataFrame, results: list[str], predict, keep) -> DataFrame:
-    """``docs`` where ``keep`` holds, judged by the columns ``results`` that ``predict`` adds."""
-    aside = {c: f"_of_documents_{c}" for c in docs.columns if c in results}
-    scored = predict(docs.withColumnsRenamed(aside)).where(keep)
-    back = {new: old for old, new in aside.items()}
-    return scored.drop(*results).withColumnsRenamed(back).select(*[f"`{c}`" for c in docs.columns])
+def _filtered(docs: DataFrame, predict, keep) -> DataFrame:
+    """``docs`` where ``keep`` holds, judged by columns that ``predict`` adds."""
+    docs, restore = set_aside(docs)
+    return restore(predict(docs).where(keep).select(*docs.columns))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     model = lang_id.train(docs, ~held_out(4, 2))
     return _filtered(
-        docs, ["lang_pred", "score"], lambda d: lang_id.predict(d, *model, keep_text=True),
+        docs, lambda d: lang_id.predict(d, *model, keep_text=True),
         (F.col("lang_pred") != lang_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE),
     )
 
@@ -46,7 +45,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, ~held_out(3, 1))
     return _filtered(
-        docs, ["score"], lambda d: toxicity.predict(d, model, keep_text=True),
+        docs, lambda d: toxicity.predict(d, model, keep_text=True),
         F.col("score") < LEAST_TOXIC,
     )
 
@@ -62,17 +61,15 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A text that loses nothing stays as it is; of others the words left are joined by one
     space and n_chars follows. A document that loses all its words keeps an empty text.
     """
-    results = [f.name for f in substring.FIELDS]
-    aside = {c: f"_of_documents_{c}" for c in docs.columns if c in results}
-    cut = substring.remove_repeats(docs.withColumnsRenamed(aside), keep_text=True)
+    docs, restore = set_aside(docs, own=("doc_id", "text", "n_chars"))
+    cut = substring.remove_repeats(docs, keep_text=True)
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.char_length("kept").cast(kind)
         new["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
-    cut = cut.withColumns(new).drop(*results)
-    return cut.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[f"`{c}`" for c in docs.columns])
+    return restore(cut.withColumns(new).select(*docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

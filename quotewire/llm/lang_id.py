@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.llm.words import append_columns, raw, slices
+from quotewire.llm.words import append_columns, raw, set_aside, slices
 
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 16
@@ -146,13 +146,14 @@ def predict(
         return score
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    docs, restore = set_aside(docs, replaced={f.name for f in FIELDS})
     marked = docs.withColumn("_letter", has_letter)
     if languages:
         scored = append_columns(marked, make, FIELDS, keep_text)
     else:
         scored = marked if keep_text else marked.drop("text")
         scored = scored.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
-    return scored.withColumns({
+    return restore(scored.withColumns({
         "lang_pred": F.when(F.col("_letter"), F.col("lang_pred")).otherwise(UNDETERMINED),
         "score": F.when(F.col("_letter"), F.col("score")).otherwise(0.0),
-    }).drop("_letter")
+    }).drop("_letter"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from quotewire.llm.graph import components
 from quotewire.llm.substring import text_key
-from quotewire.llm.words import U64, WordHasher, mix, ranges, slices
+from quotewire.llm.words import U64, WordHasher, mix, ranges, set_aside, slices
 from quotewire.session import materialize
 
 SHINGLE = 5
@@ -446,6 +446,7 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
     Of rows that repeat the kept doc_id and text one stays (word-less ones all stay).
     """
     found = materialize(near_duplicates(docs, similarity))
+    docs, restore = set_aside(docs)
     key = ["doc_id", "_f1", "_f2"]
     lost = materialize(found.where("NOT kept").select(*key).distinct())
     marked = docs.withColumns(text_key())
@@ -462,12 +463,10 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> Dat
         .where("n > 1").select(*key)
     )
     if repeated.isEmpty():
-        return left.select(*docs.columns)
+        return restore(left.select(*docs.columns))
     marked = left
     blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     again = marked.join(repeated, match(repeated), "left_semi")
     single = marked.join(repeated, match(repeated), "left_anti")
-    return (
-        single.union(again.where(blank)).union(again.where(~blank).dropDuplicates(key))
-        .select(*docs.columns)
-    )
+    rest = single.union(again.where(blank)).union(again.where(~blank).dropDuplicates(key))
+    return restore(rest.select(*docs.columns))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.llm.words import U64, WordHasher, append_columns, mix, ranges, slices
+from quotewire.llm.words import U64, WordHasher, append_columns, mix, ranges, set_aside, slices
 from quotewire.session import materialize
 
 MIN_WORDS = 35
@@ -224,6 +224,7 @@ def remove_repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = GRAM,
     rows count as separate documents; ids play no part. Columns named like the new ones
     are replaced. ``text`` itself stays only if asked for.
     """
+    docs, restore = set_aside(docs, replaced={f.name for f in FIELDS})
     docs = docs.withColumns(text_key())
     spans = repeated_spans(docs, size, gram)
 
@@ -244,4 +245,4 @@ def remove_repeats(docs: DataFrame, size: int = MIN_WORDS, gram: int = GRAM,
         return kept
 
     marked = docs.join(spans, ["_f1", "_f2"], "left")
-    return append_columns(marked, make, FIELDS, keep_text).drop("_f1", "_f2", "spans")
+    return restore(append_columns(marked, make, FIELDS, keep_text).drop("_f1", "_f2", "spans"))

@@ -1,7 +1,8 @@
 """Words of whole texts as 64-bit hashes, taken from Arrow buffers a block at a time.
 
 A word is a maximal run of characters other than ASCII white space (space, \\t to \\r).
-All but :func:`append_columns` runs inside tasks and knows nothing of Spark.
+All but :func:`append_columns` and :func:`set_aside` runs inside tasks and knows nothing
+of Spark.
 """
 
 from __future__ import annotations
@@ -107,8 +108,13 @@ class WordHasher:
         The second array has one more entry than the column, the number of words.
         """
         data, offsets = raw(column)
+        hashes, starts, _ = self.spans(data, offsets)
+        return hashes, np.searchsorted(starts, offsets)
+
+    def spans(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first byte and end of all words of texts that lie end to end, as :func:`raw` gives them."""
         space = self.space[data]
-        parts, starts = [], []
+        parts, starts, ends = [], [], []
         for at, end in self._cuts(space, offsets):
             if end - at >= len(self.up):
                 self._powers(end - at + 1)
@@ -126,9 +132,10 @@ class WordHasher:
             np.cumsum(self.codes[text] * self.up[: end - at], out=total[1:])
             parts.append(mix((total[last] - total[first]) * self.down[first]))
             starts.append(first + at)
-        hashes = np.concatenate(parts) if parts else np.empty(0, U64)
-        places = np.concatenate(starts) if starts else np.empty(0, np.int64)
-        return hashes, np.searchsorted(places, offsets)
+            ends.append(last + at)
+        if not parts:
+            return np.empty(0, U64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate(parts), np.concatenate(starts), np.concatenate(ends)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -138,6 +145,29 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - firsts, lengths)
 
 
+def set_aside(docs, own=("doc_id", "text"), replaced=()):
+    """``docs`` with plain names for all columns but ``own``, and what gives the names back.
+
+    So no column of the caller, whatever its name, meets a helper column of an operator or
+    has to be quoted. Columns named like those to be ``replaced``, in any case, are left out.
+    """
+    seen, names, gone = set(), [], []
+    for i, name in enumerate(docs.columns):
+        if name in own and name not in seen:
+            seen.add(name)
+            names.append(name)
+            continue
+        names.append(f"_aside{i}")
+        if name.lower() in replaced:
+            gone.append(names[-1])
+    back = dict(zip(names, docs.columns))
+
+    def restore(df):
+        return df.toDF(*[back.get(c, c) for c in df.columns])
+
+    return docs.toDF(*names).drop(*gone), restore
+
+
 def append_columns(
     docs, make: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]], fields: list[T.StructField],
     keep_text: bool = False, slice_bytes: int = 4 * BLOCK_BYTES,

@@ -24,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.llm.samples import bounded_sample, labelled
-from quotewire.llm.words import WordHasher, append_columns, raw, slices
+from quotewire.llm.samples import bounded_sample, labelled, one_text_per_key
+from quotewire.llm.words import WordHasher, append_columns, raw, set_aside, slices
+from quotewire.session import materialize
 
 BITS = 10
 SHARES = 6
@@ -174,15 +175,17 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TEX
     """Weights (bias last) and prior, from texts of ``docs`` whose ``learn`` holds.
 
     Trusted positives are those of quality 1; unlabelled are those without a quality. The
-    driver gets the numbers of about ``most`` texts, half of each, whatever the input.
+    driver gets the numbers of about ``most`` texts, half of each, whatever the input; of
+    rows that repeat a doc_id one text is learned from.
     Without positives the scorer is 0 for all, without unlabelled texts 1.
     """
     trusted = labelled(labels, "quality").select("doc_id", (F.col("quality") == 1).alias("good"))
     rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     role = F.when(F.col("good").isNull(), 0).when(F.col("good"), 1).alias("label")
     roles = rows.select("doc_id").distinct().join(trusted, "doc_id", "left").select("doc_id", role)
-    sample = bounded_sample(roles.where("label IS NOT NULL"), most, "label")
-    found = features(rows.join(sample, "doc_id")).toArrow()
+    sample = bounded_sample(materialize(roles.where("label IS NOT NULL")), most, "label")
+    # The sample is bounded, so it can go to the texts instead of the texts to it.
+    found = features(one_text_per_key(rows.join(F.broadcast(sample), "doc_id"))).toArrow()
     label = found["label"].to_numpy()
     forms = np.frombuffer(b"".join(found["form"].to_pylist()), np.float32).reshape(-1, SIZE)
     order = np.lexsort((*forms.T[-SHARES:], label))  # rows come in any order
@@ -215,4 +218,5 @@ def predict(docs: DataFrame, weights: np.ndarray, keep_text: bool = False) -> Da
 
         return score
 
-    return append_columns(docs, make, FIELDS, keep_text)
+    docs, restore = set_aside(docs, replaced={f.name for f in FIELDS})
+    return restore(append_columns(docs, make, FIELDS, keep_text))

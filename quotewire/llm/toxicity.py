@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewire.llm.samples import bounded_sample, labelled
-from quotewire.llm.words import U64, WordHasher, append_columns, slices
+from quotewire.llm.samples import bounded_sample, labelled, one_text_per_key
+from quotewire.llm.words import U64, WordHasher, append_columns, set_aside, slices
+from quotewire.session import materialize
 
 # Identity terms that stand for one another, by kind.
 IDENTITY_TERMS: Mapping[str, Sequence[str]] = {
@@ -206,19 +207,24 @@ def _steps(sets, names, columns, rows, at, change_rows, change, n_changes, activ
     return out, float(bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TEXTS) -> tuple[np.ndarray, float]:
+def train(
+    docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TEXTS,
+    terms: Mapping[str, Sequence[str]] = IDENTITY_TERMS,
+) -> tuple[np.ndarray, float]:
     """The model of the texts of ``docs`` whose ``learn`` holds and whose toxic label is known.
 
-    The driver gets the word sets of about ``most`` texts, whatever the input. Without
+    The driver gets the word sets of about ``most`` texts, whatever the input; of rows that
+    repeat a doc_id one text is learned from. ``terms`` are the groups of identity terms
+    whose members are swapped; texts that hold none are learned from without swaps. Without
     texts of both labels the model is the share of toxic ones (0 if there is none).
     """
     known = labelled(labels, "toxic").withColumnRenamed("toxic", "label")
     rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
-    keys = rows.select("doc_id").join(known, "doc_id")
+    keys = materialize(rows.select("doc_id").distinct().join(known, "doc_id"))
     sizes = {r["label"]: r["n"] for r in keys.groupBy("label").agg(F.count("*").alias("n")).collect()}
     # The sample is bounded, so it can go to the texts instead of the texts to it.
-    chosen = F.broadcast(bounded_sample(known, most, "label"))
-    sample = features(rows.join(chosen, "doc_id")).toArrow()
+    chosen = F.broadcast(bounded_sample(keys, most, "label"))
+    sample = features(one_text_per_key(rows.join(chosen, "doc_id"))).toArrow()
     label = sample["label"].to_numpy().astype(float)
     if len(np.unique(label)) < 2:
         share = float(label.mean()) if len(label) else 0.0
@@ -228,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_TEX
     label, sets = label[order], [sets[i] for i in order]
     drawn = {v: (label == v).sum() for v in (0, 1)}
     weights = np.array([sizes[int(v)] / drawn[int(v)] for v in label])
-    return fit(sets, label, weights)
+    return fit(sets, label, weights, terms)
 
 
 def predict(docs: DataFrame, model: tuple[np.ndarray, float], keep_text: bool = False) -> DataFrame:
@@ -255,4 +261,5 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, float], keep_text: bool =
 
         return score
 
-    return append_columns(docs, make, FIELDS, keep_text)
+    docs, restore = set_aside(docs, replaced={f.name for f in FIELDS})
+    return restore(append_columns(docs, make, FIELDS, keep_text))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quotewire.llm import lang_id, quality, toxicity
 from quotewire.llm.folds import held_out
 from quotewire.llm.queries import QUERIES
+from quotewire.llm.samples import one_text_per_key
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -179,3 +180,64 @@ def test_swaps_are_the_differences():
     rows_, columns, values, n = toxicity.swaps(sets, {"k": ("woman", "man", "girl")})
     assert n == 4  # woman to man or girl, man to woman or girl
     assert sorted(np.bincount(rows_, values, minlength=n)) == [0, 0, 1, 1]
+
+
+@pytest.mark.parametrize("model,name", [(quality, "quality"), (toxicity, "toxic")])
+def test_fit_on_a_bounded_number_of_rows(spark, monkeypatch, model, name):
+    """One doc_id that 20,000 rows share is one text of the sample."""
+    words = ["ill", "good", "tree", "house", "river"]
+    docs = spark.range(22_000).select(
+        F.when(F.col("id") < 20_000, -1).otherwise(F.col("id")).alias("doc_id"),
+        F.concat_ws(" ", *[F.element_at(F.array(*map(F.lit, words)), (F.col("id") % n + 1).cast("int")) for n in (2, 3, 5)],
+                    F.col("id").cast("string")).alias("text"),
+    )
+    # Labels cover far more ids than the table; the sample comes from those it has.
+    labels = spark.range(-1, 200_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).cast("int").alias(name)
+    )
+    met, features = [], model.features
+
+    def counted(texts):
+        out = features(texts).cache()
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(model, "features", counted)
+    model.train(docs, labels, ~held_out(5, 0), most=300)
+    assert 150 < met[0] < 450
+
+
+def test_one_text_per_key_is_the_same_in_any_order(spark):
+    rows = spark.createDataFrame([(i % 7, f"text {i}", 1) for i in range(100)], "doc_id long, text string, label int")
+    got = [
+        {(r["doc_id"], r["text"]) for r in one_text_per_key(df).collect()}
+        for df in (rows.repartition(5), rows.orderBy(F.desc("text")))
+    ]
+    assert got[0] == got[1] and len(got[0]) == 7
+
+
+def test_terms_of_swaps_are_an_argument(spark):
+    """Through the query's own fit: a neutral mention of a group gains no weight by its swaps."""
+    rng = random.Random(5)
+    common = [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(10) for j in range(10)]
+    rows = []
+    for i in range(600):
+        toxic = i % 2
+        words = rng.choices(common, k=30) + (["vile"] if toxic and i % 4 == 1 else [])
+        if rng.random() < (0.6 if toxic else 0.1):
+            words.append("zorg")
+        elif rng.random() < 0.1:
+            words.append("blarg")
+        rows.append((i, " ".join(words), toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels, learn = df.select("doc_id", "text"), df.select("doc_id", "toxic"), F.lit(True)
+    plain = toxicity.train(docs, labels, learn, terms={})
+    fair = toxicity.train(docs, labels, learn, terms={"kind": ("zorg", "blarg")})
+    mentions = spark.createDataFrame([(0, "zorg"), (1, "blarg"), (2, "vile")], "doc_id long, text string")
+
+    def gap(model):
+        s = {r["doc_id"]: r["score"] for r in toxicity.predict(mentions, model).collect()}
+        return abs(s[0] - s[1]), s[2]
+
+    assert gap(fair)[0] < 0.5 * gap(plain)[0]
+    assert gap(fair)[1] > 0.7

@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotewire.llm.words import mix, ranges, slices
+from quotewire.llm.words import U64, WordHasher, mix, ranges, raw, slices
 from quotewire.session import materialize
 
 LENGTH = 4096
@@ -53,11 +53,12 @@ class _WordIds:
     """Token ids of texts, from the ids of their distinct words and of those words' parts.
 
     For tokenizers that drop white space and let no token cross it, which holds for BPE
-    over words: a text's ids are those of its words in turn. New words are normalised
-    together by the tokenizer, parted by its own pattern, and its model encodes each
-    distinct part once. Words with characters that could interact with a neighbour or with
-    part of a special token, and all words under a pre-tokenizer that is not one pattern
-    over bytes, are encoded singly by the whole tokenizer.
+    over words: a text's ids are those of its words in turn. Words are told apart by their
+    64-bit hashes. New words are normalised together, parted by the tokenizer's own
+    pattern, and its model encodes each distinct part once. Words with characters that
+    could interact with a neighbour or with part of a special token, and all words under a
+    pre-tokenizer that is not one pattern over bytes, are encoded singly by the whole
+    tokenizer.
     """
 
     #: Visible characters below U+0300: white space, controls, combining marks, the one
@@ -67,13 +68,16 @@ class _WordIds:
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.pattern = self._pattern(json.loads(definition)["pre_tokenizer"] or {})
+        self.tokenizer, self.hasher = Tokenizer.from_str(definition), WordHasher()
+        steps = json.loads(definition)
+        self.pattern = self._pattern(steps["pre_tokenizer"] or {})
+        self.normal = self._normal(steps["normalizer"] or {}, self.tokenizer.normalizer)
         shown = [i for i in range(256) if chr(i).isprintable() and chr(i) != " "]
         hidden = [i for i in range(256) if i not in shown]
         # Byte-level BPE writes a byte as itself where it can be seen, else from U+0100 on.
         self.letters = {b: 256 + i for i, b in enumerate(hidden)}
-        self._clear()
+        self._forget_words(np.empty(0, np.int64))
+        self._forget_parts()
 
     @staticmethod
     def _pattern(steps: dict) -> regex.Pattern | None:
@@ -89,17 +93,42 @@ class _WordIds:
 
         return regex.compile(" |" + cut["pattern"]["Regex"])
 
-    def _clear(self) -> None:
-        self.words, self.parts = _Numbered(), _Numbered()
-        self.parts_of_word, self.ids_of_part = _Lists(), _Lists()
+    @staticmethod
+    def _normal(steps: dict, normalizer) -> Callable[[str], str]:
+        """How plain words, joined by blanks, are normalised."""
+        kinds = [s["type"] for s in steps.get("normalizers", [steps] if steps else [])]
+        blanks = [s for s in steps.get("normalizers", [steps]) if s.get("type") == "Replace"]
+        only = all(s["pattern"] == {"Regex": "\\s+"} and s["content"] == " " for s in blanks)
+        if not only or not set(kinds) <= {"NFC", "Replace", "Lowercase"}:
+            return normalizer.normalize_str
+        # Plain characters are composed as they are, and single blanks stay.
+        return str.lower if "Lowercase" in kinds else str
+
+    def _forget_words(self, kept: np.ndarray) -> None:
+        """Drop all words but those at these places in order of their hashes."""
+        if len(kept):
+            flat, lengths = self.ids.take(self.number[kept])
+            self.hashes = self.hashes[kept]
+        else:
+            flat, lengths, self.hashes = [], [], np.empty(0, U64)
+        self.ids = _Lists()
+        self.ids.append(flat, lengths)
+        self.number = np.arange(len(self.hashes))
+        self.again = np.zeros(len(self.hashes), bool)
+
+    def _forget_parts(self) -> None:
+        self.parts, self.ids_of_part = _Numbered(), _Lists()
         self.parts[" "]
         self.ids_of_part.append([], [0])
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words in order, and each word's number of ids."""
+        if len(self.parts) > CACHE_WORDS:
+            self._forget_parts()
         texts = b" ".join(new).decode().split(" ")
         plain = [i for i, t in enumerate(texts) if self.PLAIN.fullmatch(t)] if self.pattern else []
         joined = " ".join([texts[i] for i in plain])
-        normal = self.tokenizer.normalizer.normalize_str(joined) if plain else ""
+        normal = self.normal(joined) if plain else ""
         if normal.count(" ") != len(plain) - 1:
             plain, normal = [], ""
         known, number = len(self.parts), self.parts.__getitem__
@@ -110,34 +139,48 @@ class _WordIds:
         tokenize, letters = self.tokenizer.model.tokenize, self.letters
         lists = [
             [t.id for t in tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(letters))]
-            for p in list(self.parts)[known:]
+            for p in islice(self.parts, known, None)
         ]
         odd = sorted(set(range(len(texts))) - set(plain))
+        whole = []
         for i in odd:  # a key of its own, as no part of a word is a tuple
-            number((texts[i],))
-            lists.append(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
-        first_odd = len(self.parts) - len(odd)
+            if (texts[i],) not in self.parts:
+                lists.append(self.tokenizer.encode(texts[i], add_special_tokens=False).ids)
+            whole.append(number((texts[i],)))
         word = np.append(word, np.array(odd, np.int64))
-        part = np.append(part, np.arange(first_odd, len(self.parts)))
+        part = np.append(part, np.array(whole, np.int64))
         order = np.argsort(word, kind="stable")
-        self.parts_of_word.append(part[order], np.bincount(word, minlength=len(texts)))
-        self.ids_of_part.append([i for own in lists for i in own], [len(own) for own in lists])
+        self.ids_of_part.append(list(chain.from_iterable(lists)), [len(own) for own in lists])
+        flat, lengths = self.ids_of_part.take(part[order])
+        n_ids = np.bincount(word[order], weights=lengths, minlength=len(texts)).astype(np.int64)
+        return flat, n_ids
 
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and each text's number of ids."""
-        if len(self.words) > CACHE_WORDS:
-            self._clear()
-        known, number = len(self.words), self.words.__getitem__
-        split = [t.split() if t else [] for t in texts]
-        n_words = np.array([len(own) for own in split], np.int64)
-        index = np.fromiter(map(number, chain.from_iterable(split)), np.int64, int(n_words.sum()))
-        if len(self.words) > known:
-            self._learn(list(self.words)[known:])
-        parts, n_parts = self.parts_of_word.take(index)
-        ids, n_ids = self.ids_of_part.take(parts)
-        of_word = np.append(0, np.cumsum(n_parts))
-        of_text = np.append(0, np.cumsum(n_words))
-        return ids.astype(np.uint32), np.diff(np.append(0, np.cumsum(n_ids))[of_word[of_text]])
+        if len(self.hashes) > CACHE_WORDS:  # words met again are likely to come once more
+            kept = np.flatnonzero(self.again)
+            self._forget_words(kept[: CACHE_WORDS // 2])
+        data, offsets = raw(pa.array(texts, pa.binary()) if isinstance(texts, list) else texts)
+        hashes, starts, ends = self.hasher.spans(data, offsets)
+        met, first, index = np.unique(hashes, return_index=True, return_inverse=True)
+        spot = np.searchsorted(self.hashes, met)
+        old = np.zeros(len(met), bool)
+        inside = spot < len(self.hashes)
+        old[inside] = self.hashes[spot[inside]] == met[inside]
+        self.again[spot[old]] = True
+        if not old.all():
+            text, at = data.tobytes(), first[~old]
+            new = [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+            numbers = np.arange(len(self.hashes), len(self.hashes) + len(new))
+            self.ids.append(*self._learn(new))
+            place = spot[~old]
+            self.hashes = np.insert(self.hashes, place, met[~old])
+            self.number = np.insert(self.number, place, numbers)
+            self.again = np.insert(self.again, place, False)
+            spot = np.searchsorted(self.hashes, met)
+        ids, n_ids = self.ids.take(self.number[spot][index])
+        of_word = np.append(0, np.cumsum(n_ids))
+        return ids.astype(np.uint32), np.diff(of_word[np.searchsorted(starts, offsets)])
 
 
 def pieces(
@@ -156,7 +199,7 @@ def pieces(
         encoder, met = _WordIds(shared.value), 0
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, counts = encoder.encode(part["text"].cast(pa.binary()).to_pylist())
+                ids, counts = encoder.encode(part["text"])
                 sizes = counts + 1
                 ends = np.cumsum(sizes)
                 flat = np.full(int(ends[-1]), end_id, "<u4")

@@ -89,3 +89,23 @@ def test_query_on_the_given_documents(spark, tokenizer):
     bins = check(rows, [(d["doc_id"], d["text"]) for d in docs], tokenizer, 4096)
     tokens = sum(r["length"] for r in rows)
     assert len(bins) <= tokens / 4096 * 1.01 + 1
+
+
+def test_words_are_forgotten_without_changing_ids(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    rng, tokenizer = random.Random(7), Tokenizer.from_str(word_bpe())
+    encoder = packing._WordIds(word_bpe())
+    for _ in range(12):
+        texts = [" ".join(f"{rng.choice('abcé')}{rng.randint(0, 90)}İx"[: rng.randint(1, 4)] for _ in range(20)) for _ in range(5)]
+        ids, counts = encoder.encode([*[t.encode() for t in texts], None])
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == [i for own in want for i in own] and counts.tolist() == [*map(len, want), 0]
+        assert len(encoder.hashes) < 50 + 100
+
+
+def test_plain_characters_are_normalised_as_by_the_tokenizer():
+    encoder = packing._WordIds(word_bpe())
+    plain = [chr(i) for i in range(0x300) if encoder.PLAIN.fullmatch(chr(i))]
+    text = " ".join(x + y for x in plain[::7] for y in plain)
+    assert encoder.normal is str.lower
+    assert encoder.normal(text) == encoder.tokenizer.normalizer.normalize_str(text)

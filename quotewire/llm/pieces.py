@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotewire.llm.packing import _Numbered
-from quotewire.llm.words import U64, append_columns, mix, ranges
+from quotewire.llm.words import U64, append_columns, mix, ranges, set_aside
 
 SPACE = "▁"
 #: How sharply samples prefer likely pieces; 1 samples by the pieces' own probabilities.
@@ -39,6 +39,8 @@ RUN_BYTES = 1 << 18
 #: From so few long words on, places are filtered one by one.
 FEW_WORDS = 8
 _BASE = 0x9E3779B97F4A7C15
+_MOST = 2**32 - 1
+_TOP_BITS = 18
 
 
 def read_model(path: str) -> list[tuple[bytes, int]]:
@@ -62,7 +64,7 @@ class _Lattices:
     """Filtered lattices of distinct words, as one table of edges.
 
     Every place of a word is a node; its edges are the pieces that end there, with the
-    running shares of the ways that use them. A piece of rank r weighs 1 / (r + 2), the
+    running shares, in 32 bits, of the ways that use them. A piece of rank r weighs 1 / (r + 2), the
     usual fall of frequencies with rank; a single byte weighs 1 / (n + 2)**2, less than
     any of the n pieces, so bytes serve where nothing fits and otherwise by rare chance.
     """
@@ -84,9 +86,12 @@ class _Lattices:
         names = sorted(starts)
         hashed = self._hash(b"".join(names), np.cumsum([0, *map(len, names)]))
         order = np.argsort(hashed)
-        self.prefix = hashed[order]
-        self.number = np.array([known.get(names[i], (-1, 0.0))[0] for i in order])
-        self.weight = np.array([known.get(names[i], (-1, 0.0))[1] for i in order])
+        # One entry more, above all keys, and the first entry of each value of the top bits.
+        self.prefix = np.append(hashed[order], U64(2**64 - 1))
+        self.number = np.array([*[known.get(names[i], (-1, 0.0))[0] for i in order], -1])
+        self.weight = np.array([*[known.get(names[i], (-1, 0.0))[1] for i in order], 0.0])
+        tops = np.arange(1 << _TOP_BITS).astype(U64) << U64(64 - _TOP_BITS)
+        self.top = np.searchsorted(self.prefix, tops)
         self.clear()
 
     @staticmethod
@@ -105,19 +110,32 @@ class _Lattices:
 
     def clear(self) -> None:
         self.words = _Numbered()
-        self.length, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.share, self.piece, self.back = np.empty(0), np.empty(0, np.int32), np.empty(0, np.int64)
+        self.again, self.length, self.first = np.empty(0, bool), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.edge, self.share = np.empty(0, np.int64), np.empty(0, np.uint32)
+        self.piece, self.back = np.empty(0, np.int32), np.empty(0, np.int32)
 
     def tables(self) -> tuple[np.ndarray, ...]:
         """All that is known of the words so far; :meth:`learn` makes new tables."""
-        return self.length, self.first, self.share, self.piece, self.back
+        return self.again, self.length, self.first, self.edge, self.share, self.piece, self.back
 
     def forget(self, tables: tuple[np.ndarray, ...]) -> None:
         """Drop the words learnt since these were the tables."""
-        self.length, self.first, self.share, self.piece, self.back = tables
+        self.again, self.length, self.first, self.edge, self.share, self.piece, self.back = tables
         while len(self.words) > len(self.length):
             self.words.popitem()
 
+    def keep_common(self, most: int) -> None:
+        """Keep the words that were met again after they were learnt, the first ``most``."""
+        kept = np.flatnonzero(self.again)[:most]
+        names, length, first = list(self.words), self.length[kept], self.first[kept]
+        nodes = ranges(first, length)
+        n_edges = np.diff(np.append(self.edge, len(self.share)))[nodes]
+        edges = ranges(self.edge[nodes], n_edges)
+        self.words = _Numbered(zip([names[i] for i in kept.tolist()], range(len(kept))))
+        self.again, self.length, self.first = np.zeros(len(kept), bool), length, np.cumsum(length) - length
+        self.edge, self.share = np.cumsum(n_edges) - n_edges, self.share[edges]
+        self.piece, self.back = self.piece[edges], self.back[edges]
+
     def _found(self, at, word_end, total, down):
         """Places (start, end) and spots of all pieces that start ``at`` and end in the word."""
         size = 0
@@ -125,7 +143,11 @@ class _Lattices:
             size += 1
             at = at[at + size <= word_end[at]]
             key = mix((total[at + size] - total[at]) * down[at])
-            spot = np.minimum(np.searchsorted(self.prefix, key), len(self.prefix) - 1)
+            spot = self.top[key >> U64(64 - _TOP_BITS)]
+            late = np.flatnonzero(self.prefix[spot] < key)
+            while len(late):
+                spot[late] += 1
+                late = late[self.prefix[spot[late]] < key[late]]
             hit = self.prefix[spot] == key
             at, spot = at[hit], spot[hit]
             whole = self.number[spot] >= 0
@@ -201,10 +223,12 @@ class _Lattices:
         base = int(self.length.sum())
         self.first = np.append(self.first, base + offsets[:-1])
         self.length = np.append(self.length, lengths)
-        # Shares lie above their node's number, so one search finds node and edge.
-        self.share = np.append(self.share, base + end - 1 + np.minimum(share, 1.0))
+        self.again = np.append(self.again, np.zeros(len(new), bool))
+        n_edges = np.bincount(end - 1, minlength=len(data))
+        self.edge = np.append(self.edge, len(self.share) + np.cumsum(n_edges) - n_edges)
+        self.share = np.append(self.share, np.minimum(np.rint(share * 2.0**32), _MOST).astype(np.uint32))
         self.piece = np.append(self.piece, piece.astype(np.int32))
-        self.back = np.append(self.back, end - start)
+        self.back = np.append(self.back, (end - start).astype(np.int32))
 
     def _walk(self, head, step, last, start, end, weight, after, share) -> None:
         """Filter one word's places from ``step`` on, one after another."""
@@ -236,11 +260,13 @@ class _Lattices:
         place, who, step = self.length[word].copy(), np.arange(len(word)), 0
         found = []
         while len(who):
-            draw = mix(key[who] + U64(step * _BASE % (1 << 64))) >> U64(11)
-            node = self.first[word[who]] + place[who]
-            # Beside large numbers a draw next to 1 must not be rounded into the next node.
-            spot = np.minimum(node - 1 + draw * 2.0**-53, np.nextafter(node.astype(float), 0))
-            edge = np.searchsorted(self.share, spot, side="right")
+            draw = mix(key[who] + U64(step * _BASE % (1 << 64))) >> U64(32)
+            draw = np.minimum(draw, U64(_MOST - 1)).astype(np.uint32)  # below a node's last share
+            edge = self.edge[self.first[word[who]] + place[who] - 1]
+            late = np.flatnonzero(self.share[edge] <= draw)
+            while len(late):
+                edge[late] += 1
+                late = late[self.share[edge[late]] <= draw[late]]
             found.append((who, self.piece[edge]))
             place[who] -= self.back[edge]
             who = who[place[who] > 0]
@@ -314,6 +340,10 @@ def encode(
     adds what :func:`decode` would, from the ids, in the same pass over the rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(list(pieces))
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if with_decoded:
+        fields.append(T.StructField("decoded", T.StringType()))
+    docs, restore = set_aside(docs, own=("text", key), replaced={f.name for f in fields})
     keyed = docs.withColumn("_key", F.xxhash64(F.lit(seed), F.col(key)))
 
     def make():
@@ -322,7 +352,7 @@ def encode(
 
         def ids(part: pa.RecordBatch) -> list[pa.Array]:
             if len(lattices.words) > CACHE_WORDS:
-                lattices.clear()
+                lattices.keep_common(CACHE_WORDS // 2)
             texts = part["text"].cast(pa.binary()).to_pylist()
             words = [_runs(t, cut) if t is not None else [] for t in texts]
             known, number = len(lattices.words), lattices.words.__getitem__
@@ -341,6 +371,7 @@ def encode(
             kept = None
             n_words = np.array([len(own) for own in words], np.int64)
             index = np.fromiter(map(number, chain.from_iterable(words)), np.int64, int(n_words.sum()))
+            lattices.again[index[index < known]] = True
             if len(lattices.words) > known:
                 new = list(lattices.words)[known:]
                 short = sum(len(w) <= MAX_WORD for w in new)  # these come first
@@ -365,10 +396,7 @@ def encode(
 
         return ids
 
-    fields = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
-    if with_decoded:
-        fields.append(T.StructField("decoded", T.StringType()))
-    return append_columns(keyed, make, fields, keep_text, slice_bytes=1 << 20).drop("_key")
+    return restore(append_columns(keyed, make, fields, keep_text, slice_bytes=1 << 20).drop("_key"))
 
 
 def decode(rows: DataFrame, pieces: Sequence[tuple[bytes, int]], ids: str = "ids") -> DataFrame:
@@ -377,7 +405,8 @@ def decode(rows: DataFrame, pieces: Sequence[tuple[bytes, int]], ids: str = "ids
     Undoes :func:`encode` exactly. Control pieces stand for nothing.
     """
     shared = rows.sparkSession.sparkContext.broadcast(list(pieces))
-    kept = [f for f in rows.schema.fields if f.name != "decoded"]
+    rows, restore = set_aside(rows, own=(ids,), replaced={"decoded"})
+    kept = rows.schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(shared.value)
@@ -391,4 +420,4 @@ def decode(rows: DataFrame, pieces: Sequence[tuple[bytes, int]], ids: str = "ids
                 yield pa.record_batch([*columns, texts], names=[*[f.name for f in kept], "decoded"])
 
     schema = T.StructType([*kept, T.StructField("decoded", T.StringType())])
-    return rows.select(*[F.col(f"`{f.name}`") for f in kept]).mapInArrow(run, schema)
+    return restore(rows.select(*[f.name for f in kept]).mapInArrow(run, schema))

@@ -175,3 +175,30 @@ def test_decoding_in_the_same_pass(spark):
     assert all(r["decoded"] == r["text"] for r in both) and len(both) == 5
     apart = pieces.decode(pieces.encode(docs, SMALL), SMALL)
     assert sorted(map(repr, apart.collect())) == sorted(repr(r) for r in pieces.encode(docs, SMALL, with_decoded=True).collect())
+
+
+def test_words_are_forgotten_without_changing_samples():
+    rng = random.Random(3)
+    lattices, fresh = pieces._Lattices(SMALL, 1.0), pieces._Lattices(SMALL, 1.0)
+    words = ["".join(rng.choices("abcé", k=rng.randint(1, 9))).encode() for _ in range(200)]
+    words = list(dict.fromkeys(words))
+    for w in words:
+        lattices.words[w]
+    lattices.learn(words)
+    kept = words[1::3]
+    lattices.again[1::3] = True
+    lattices.keep_common(len(words))
+    assert list(lattices.words) == kept
+    more = [w + b"zab" for w in kept[:9]]
+    for w in more:
+        lattices.words[w]
+    lattices.learn(more)
+    for w in [*kept, *more]:
+        fresh.words[w]
+    fresh.learn([*kept, *more])
+    index = np.arange(len(kept) + len(more))
+    keys = pieces.mix(index.astype(np.uint64))
+    for got, want in zip(lattices.sample(index, keys), fresh.sample(index, keys)):
+        assert np.array_equal(got, want)
+    lattices.keep_common(0)
+    assert not lattices.words and not len(lattices.share)

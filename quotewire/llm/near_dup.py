@@ -44,7 +44,7 @@ IDF_BITS = 16
 CHUNK = 1024
 _TABLE = 1 << 16
 _BLOCK = 512  # shingles drawn from at once, so that the cells stay in the processor's cache
-_PAIRS = 1 << 18
+_PAIRS = 1 << 15  # pairs compared at once; their fine samples are 512 bytes a side
 
 
 def _texts(docs: DataFrame) -> DataFrame:

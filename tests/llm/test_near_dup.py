@@ -77,6 +77,7 @@ def test_all_pairs_are_tried_when_the_best_few_are_tested(spark, monkeypatch):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_same_classes_as_all_pairs(spark, monkeypatch, seed):
     monkeypatch.setattr(near_dup, "CHUNK", 16)  # several blocks to a bucket
+    monkeypatch.setattr(near_dup, "_PAIRS", 64)  # several turns to a block
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(3000)]
     texts = family(rng, words, 120, 150, 6) + family(rng, words, 60, 300, 20) + family(rng, words, 10, 4, 1)

@@ -573,6 +573,20 @@ def test_findings(spark, c, accuracy, mood, texts):
     assert f"({c or 0:.3f})" in got["correlation"]
 
 
+def test_findings_write_the_correlation_as_the_sql_does(spark):
+    """Halves of the last place by the binary value, and the sign of what rounds to zero."""
+    values = [0.0045, -0.0135, 0.0125, 0.0625, 0.1875, 0.3125, 0.0005, -0.0004, -0.0, 0.0, 0.2995, -0.9995, 1.0, -1.0]
+    values += [i / 10000 for i in range(-10000, 10001, 5)]
+    df = spark.createDataFrame([(c,) for c in values], "c double")
+    texts = df.select("c", stats.three_places(F.col("c")).alias("t")).collect()
+    assert [r["t"] for r in texts] == [f"{r['c']:.3f}" for r in texts]
+    groups = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (0.0, 1.0), (1.0, -1e-5)], "sentiment_score double, daily_change_percent double")
+    correlation = stats.sentiment_price_corr(groups)
+    assert str(correlation.first()[0]) == "-0.0"
+    text = {r["item"]: r["text"] for r in stats.report_findings(pairs(spark, pair(1, "A")), correlation).collect()}
+    assert "(-0.000)" in text["correlation"]
+
+
 # --- scoring ------------------------------------------------------------------------------------
 
 

@@ -253,3 +253,15 @@ def test_more_clusters_than_points_and_no_points(spark, features):
     assert clusters.kmeans_elbow(features.limit(0)).count() == 0
     same = features.withColumns({c: F.lit(1.0) for c in clusters.CLUSTER_FEATURES})
     assert rows(clusters.kmeans_symbols(same, restarts=2).select("cluster").distinct()) == [(0,)]
+
+
+def test_equal_points_are_passed_over_as_one(spark, features, monkeypatch):
+    """Copies of all symbols give the same centres, and as many rows to pass over."""
+    written, write = [], clusters.materialize
+    monkeypatch.setattr(clusters, "materialize", lambda df: written.append(write(df)) or written[-1])
+    points = clusters.scaled_cluster_features(features)
+    copies = points.withColumn("stock_symbol", F.explode(F.array([F.concat(F.lit(str(i)), "stock_symbol") for i in range(9)])))
+    one, nine = clusters.fit(points, [4], 5), clusters.fit(copies, [4], 5)
+    assert written[1].count() == written[0].count() and written[1].agg(F.sum("_n")).first()[0] == 46 * 9
+    assert np.allclose(one.centres[4], nine.centres[4])
+    assert nine.inertia[4] == pytest.approx(9 * one.inertia[4])

@@ -241,3 +241,15 @@ def test_addresses_are_resolved_as_browsers_do(spark):
     df = spark.createDataFrame([(h,) for h in hrefs], "href string")
     got = df.select("href", pages.absolute_url(F.col("href"), base).alias("url")).collect()
     assert {r["href"]: r["url"] for r in got} == {h: urljoin(base, h) for h in hrefs}
+
+
+def test_pages_reach_python_in_batches_of_bounded_bytes(spark):
+    """A task's memory for nodes does not grow with its pages."""
+    import pyarrow as pa
+
+    def size(part: pa.Array) -> pa.Array:
+        return pa.array([part.nbytes] * len(part), pa.int64())
+
+    df = spark.range(600, numPartitions=1).select(F.repeat(F.lit("<tr><td>x</td></tr>"), 2000).alias("html"))
+    most = df.select(F.arrow_udf(size, "bigint")("html").alias("n")).agg(F.max("n")).first()[0]
+    assert most < 3 * 2**20

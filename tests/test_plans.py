@@ -76,3 +76,9 @@ def test_a_run_is_summed_up_without_counting_again(spark):
 
 def test_market_days_take_one_evaluation_of_the_series(spark):
     assert plan(spark, "market_daily").count("Scan parquet") == 1
+
+
+def test_model_frame_takes_one_evaluation_of_the_series(spark):
+    """Its size and its rows are both read from the written series."""
+    text = plan(spark, "model_frame")
+    assert "l_suppkey" not in text and text.count("SortAggregate") == 0

@@ -35,8 +35,8 @@ def _scored(t: Inputs) -> DataFrame:
     return sentiment.score_articles(t.posts(), sentiment.lexicon_scorer(POSITIVE, NEGATIVE))
 
 
-def _series(t: Inputs) -> DataFrame:
-    return timeseries.time_series_features(t.pairs("S"))
+def _series(t: Inputs, volume: bool = True) -> DataFrame:
+    return timeseries.time_series_features(t.pairs("S"), volume)
 
 
 # --- news and prices ------------------------------------------------------------------
@@ -820,7 +820,7 @@ def time_series_features(t: Inputs) -> DataFrame:
     ),
 )
 def market_daily(t: Inputs) -> DataFrame:
-    return timeseries.market_daily(_series(t))
+    return timeseries.market_daily(_series(t, volume=False))
 
 
 @query(
@@ -837,7 +837,7 @@ def market_daily(t: Inputs) -> DataFrame:
     ),
 )
 def symbol_recent(t: Inputs) -> DataFrame:
-    recent = timeseries.symbol_recent(_series(t), "S7")
+    recent = timeseries.symbol_recent(_series(t, volume=False), "S7")
     return recent.select("date", "current_price", "sentiment_score", "strong_sentiment")
 
 

@@ -454,6 +454,16 @@ def test_daily_takes_the_latest_price(spark):
     assert timeseries.daily_symbol(df).first()["current_price"] == 5.0
 
 
+def test_daily_without_volume_is_the_same_but_for_it(spark):
+    df = pairs(spark, pair(2, "A", price=5.0), pair(1, "A", price=9.0), pair(3, "A", price=None), pair(4, "B", price=None))
+    odd = spark.createDataFrame([("5", "A", "soon", 7.0), ("6", None, "2024-01-01", 7.0)], "news_id string, stock_symbol string, published_at string, current_price double")
+    df = df.unionByName(odd, allowMissingColumns=True)
+    whole, narrow = timeseries.daily_symbol(df), timeseries.daily_symbol(df, volume=False)
+    assert narrow.columns == [c for c in whole.columns if c != "volume"]
+    assert rows(narrow) == rows(whole, *narrow.columns)
+    assert rows(narrow, "stock_symbol", "current_price", "news_count") == [("A", 5.0, 3), ("B", None, 1)]
+
+
 def test_days_are_utc_and_bad_times_are_dropped(spark):
     df = pairs(spark, pair(1, "A", 0.5), pair(2, "C", 0.1))
     odd = [("3", "A", "", 9.0), ("4", "A", "soon", 9.0), ("5", "A", None, 9.0), ("6", "A", "2024-01-01T23:00:00-05:00", 1.0)]

@@ -82,3 +82,29 @@ def test_model_frame_takes_one_evaluation_of_the_series(spark):
     """Its size and its rows are both read from the written series."""
     text = plan(spark, "model_frame")
     assert "l_suppkey" not in text and text.count("SortAggregate") == 0
+
+
+def written_series(spark, monkeypatch, name):
+    """Plan of what a query writes as its series, and the plan of the rest."""
+    from quotewire.plans import run_queries
+
+    written, write = [], run_queries.materialize
+    monkeypatch.setattr(run_queries, "materialize", lambda df: written.append(df) or write(df))
+    rest = plan(spark, name)
+    (series,) = written
+    return series._jdf.queryExecution().executedPlan().toString(), rest
+
+
+@pytest.mark.parametrize("name", ["model_frame", "scale_features", "train_test_split"])
+def test_models_work_out_only_what_they_read_of_the_series(spark, monkeypatch, name):
+    """No mean change (l_tax), no volume, one state of the last price, each time parsed once."""
+    text, _ = written_series(spark, monkeypatch, name)
+    assert "l_tax" not in text and "volume" not in text
+    assert text.count("partial_max(") == 1 and text.count("partial_avg(") == 1
+    assert text.count("try_cast") == 1
+
+
+@pytest.mark.parametrize("name", ["scale_features", "train_test_split"])
+def test_the_side_of_the_split_is_worked_out_once(spark, monkeypatch, name):
+    text, rest = written_series(spark, monkeypatch, name)
+    assert text.count("md5(") == 1 and "md5(" not in rest

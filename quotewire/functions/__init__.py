@@ -20,6 +20,7 @@ from quotewire.functions.numbers import (
     parse_units,
     parse_volume,
     price_direction,
+    round_half_up,
     safe_float,
     to_numeric_coerce,
 )
@@ -42,7 +43,7 @@ from quotewire.functions.text import (
 __all__ = [
     "base_symbol", "clean_text", "compound_label", "date_bucket", "first_symbol",
     "headline_fallback", "join_paragraphs", "lexicon_sentiment", "news_date", "now_utc",
-    "parse_publish_date", "parse_units", "parse_volume", "pick_text", "price_direction",
+    "parse_publish_date", "parse_units", "parse_volume", "pick_text", "price_direction", "round_half_up",
     "safe_float", "sector_of", "sentiment_level", "sentiment_type", "short_text_guard",
     "signed_score", "symbol_char_count", "symbol_from_text", "time_period",
     "to_numeric_coerce", "to_timestamp_coerce", "token_count", "url_count",

@@ -26,6 +26,18 @@ def test_safe_float(one, raw, plain, extended):
     assert one(lambda c: fn.safe_float(c, extended=True), raw, kinds=["string"]) == extended
 
 
+def test_round_half_up_is_round_of_doubles(spark):
+    edges = [0.5, 1.5, 2.5, 0.49999999999999994, 0.5000000000000001, 4503599627370495.5, 4503599627370496.0, 9007199254740993.0, 1e300, 5e-324, 0.0, 999999.5, 2.675e6, math.inf]
+    df = spark.createDataFrame([(s * x,) for x in edges for s in (1, -1)] + [(math.nan,), (None,)], "x double")
+    df = df.unionByName(spark.range(200_000).select((F.col("id") / 64 - 1500).alias("x")))
+    df = df.unionByName(spark.range(200_000).select((F.hash("id") / 1e6).alias("x")))
+    different = ~F.round("x").eqNullSafe(fn.round_half_up(F.col("x")))
+    signed = fn.round_half_up(F.col("x")).cast("string") == "-0.0"
+    assert df.where(different | signed).count() == 0
+    plan = df.select(fn.round_half_up(F.col("x")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan
+
+
 def test_safe_float_default(one):
     assert one(lambda c: fn.safe_float(c, default=-1.0), "bad") == -1.0
 

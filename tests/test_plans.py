@@ -108,3 +108,9 @@ def test_models_work_out_only_what_they_read_of_the_series(spark, monkeypatch, n
 def test_the_side_of_the_split_is_worked_out_once(spark, monkeypatch, name):
     text, rest = written_series(spark, monkeypatch, name)
     assert text.count("md5(") == 1 and "md5(" not in rest
+
+
+def test_partitions_are_merged_to_a_size_that_keeps_all_cores_busy(spark):
+    from quotewire.plans.inputs import Inputs
+
+    assert Inputs(spark, FOLDER).spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"

@@ -7,6 +7,9 @@ columns that happen to have the name of one of its own results, pass through unc
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from quotewire.llm import lang_id, near_dup, packing, substring, toxicity
 from quotewire.llm.folds import held_out
 from quotewire.llm.queries import word_bpe
 from quotewire.llm.words import set_aside
-from quotewire.session import materialize
+from quotewire.session import bound_text_batches, materialize
 
 #: A language below this probability counts as not recognised.
 LEAST_LANGUAGE = 0.5
@@ -22,12 +25,27 @@ LEAST_LANGUAGE = 0.5
 LEAST_TOXIC = 0.7
 
 
+def _bounded(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage`` in a session that from then on sends texts to Python in small batches.
+
+    Its result is computed after it returns, so the setting stays.
+    """
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_text_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 def _filtered(docs: DataFrame, predict, keep) -> DataFrame:
     """``docs`` where ``keep`` holds, judged by columns that ``predict`` adds."""
     docs, restore = set_aside(docs)
     return restore(predict(docs).where(keep).select(*docs.columns))
 
 
+@_bounded
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised: a letter at all, and a probable language.
 
@@ -40,6 +58,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@_bounded
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic, by a model of the labelled ones among them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -50,11 +69,13 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+@_bounded
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates."""
     return near_dup.drop_near_duplicates(docs)
 
 
+@_bounded
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 35 words or more that occur elsewhere too.
 
@@ -72,6 +93,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return restore(cut.withColumns(new).select(*docs.columns))
 
 
+@_bounded
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 4,096, one row per piece of a document."""
     return packing.pack(docs, word_bpe())

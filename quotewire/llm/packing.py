@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotewire.llm.words import U64, WordHasher, mix, ranges, raw, slices
-from quotewire.session import materialize
+from quotewire.session import materialize, text_batches
 
 LENGTH = 4096
 END_ID = 2
@@ -23,6 +23,10 @@ END_ID = 2
 GROUP_PIECES = 4096
 #: Distinct words whose ids a task keeps.
 CACHE_WORDS = 300_000
+#: Distinct parts of words whose ids a task keeps; a part costs several times a word.
+CACHE_PARTS = 100_000
+#: Bytes of texts that are encoded at once; the arrays made of them are some 30 times that.
+SLICE_BYTES = 1 << 20
 
 
 class _Numbered(dict):
@@ -34,18 +38,19 @@ class _Numbered(dict):
 
 
 class _Lists:
-    """Numbered lists of numbers, stored end to end."""
+    """Numbered lists of token ids, stored end to end."""
 
     def __init__(self):
-        self.flat, self.lengths, self.starts = (np.empty(0, np.int64) for _ in range(3))
+        self.flat, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int32)
+        self.starts = np.empty(0, np.int64)
 
     def append(self, flat, lengths) -> None:
-        self.flat = np.concatenate([self.flat, np.asarray(flat, np.int64)])
-        self.lengths = np.concatenate([self.lengths, np.asarray(lengths, np.int64)])
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = np.concatenate([self.flat, np.asarray(flat, np.uint32)])
+        self.lengths = np.concatenate([self.lengths, np.asarray(lengths, np.int32)])
+        self.starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = self.lengths[which]
+        lengths = self.lengths[which].astype(np.int64)
         return self.flat[ranges(self.starts[which], lengths)], lengths
 
 
@@ -68,10 +73,9 @@ class _WordIds:
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.hasher = Tokenizer.from_str(definition), WordHasher()
-        steps = json.loads(definition)
-        self.pattern = self._pattern(steps["pre_tokenizer"] or {})
-        self.normal = self._normal(steps["normalizer"] or {}, self.tokenizer.normalizer)
+        self.tokenizer, self.hasher = Tokenizer.from_str(definition), WordHasher(SLICE_BYTES >> 2)
+        self.pattern = self._pattern(self._steps(self.tokenizer.pre_tokenizer))
+        self.normal = self._normal(self._steps(self.tokenizer.normalizer), self.tokenizer.normalizer)
         shown = [i for i in range(256) if chr(i).isprintable() and chr(i) != " "]
         hidden = [i for i in range(256) if i not in shown]
         # Byte-level BPE writes a byte as itself where it can be seen, else from U+0100 on.
@@ -79,6 +83,11 @@ class _WordIds:
         self._forget_words(np.empty(0, np.int64))
         self._forget_parts()
 
+    @staticmethod
+    def _steps(part) -> dict:
+        """The definition of a part of the tokenizer, without that of its vocabulary."""
+        return {} if part is None else json.loads(part.__getstate__())
+
     @staticmethod
     def _pattern(steps: dict) -> regex.Pattern | None:
         steps = steps.get("pretokenizers", [])
@@ -123,7 +132,7 @@ class _WordIds:
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of new words in order, and each word's number of ids."""
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self._forget_parts()
         texts = b" ".join(new).decode().split(" ")
         plain = [i for i, t in enumerate(texts) if self.PLAIN.fullmatch(t)] if self.pattern else []
@@ -180,7 +189,7 @@ class _WordIds:
             spot = np.searchsorted(self.hashes, met)
         ids, n_ids = self.ids.take(self.number[spot][index])
         of_word = np.append(0, np.cumsum(n_ids))
-        return ids.astype(np.uint32), np.diff(of_word[np.searchsorted(starts, offsets)])
+        return ids, np.diff(of_word[np.searchsorted(starts, offsets)])
 
 
 def pieces(
@@ -198,7 +207,7 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, met = _WordIds(shared.value), 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, counts = encoder.encode(part["text"])
                 sizes = counts + 1
                 ends = np.cumsum(sizes)
@@ -273,7 +282,8 @@ def pack(
     empty and word-less texts are one piece that holds ``end_id`` alone. Other columns are
     dropped. sequence_id is group x 2**32 + number in the group; offset counts from 0.
     """
-    cut = materialize(pieces(docs, definition, length, end_id))
+    with text_batches(docs.sparkSession):
+        cut = materialize(pieces(docs, definition, length, end_id))
     groups = max(1, -(-cut.count() // group_pieces))
     group = F.pmod("_spot", F.lit(groups)).alias("_group")
 

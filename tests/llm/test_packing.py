@@ -1,15 +1,18 @@
 """Packing: ids as the tokenizer gives them, each in one piece, bins by plain first fit."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from quotewire.llm import packing
 from quotewire.llm.queries import QUERIES, word_bpe
+from quotewire.session import TEXT_BATCHES
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +112,30 @@ def test_plain_characters_are_normalised_as_by_the_tokenizer():
     text = " ".join(x + y for x in plain[::7] for y in plain)
     assert encoder.normal is str.lower
     assert encoder.normal(text) == encoder.tokenizer.normalizer.normalize_str(text)
+
+
+def test_a_task_holds_little_besides_its_batch(spark, monkeypatch):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, task, schema: task)
+    task, rng = packing.pieces(docs, word_bpe()), random.Random(8)
+    words = [f"{rng.choice('abcd')}word{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(words, k=2000)) for _ in range(500)]  # 9 MB
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([keys, keys, pa.array(texts)], names=["doc_id", "_key", "text"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in task(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows >= len(texts) and peak < 64e6
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    (name, value), = TEXT_BATCHES.items()
+    before, within, written = spark.conf.get(name), [], packing.materialize
+    spark.conf.set(name, "32m")
+    monkeypatch.setattr(packing, "materialize", lambda df: within.append(spark.conf.get(name)) or written(df))
+    try:
+        packing.pack(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), word_bpe())
+        assert within == [value] and spark.conf.get(name) == "32m"
+    finally:
+        spark.conf.set(name, before)

@@ -11,7 +11,7 @@ import corpus_pipeline
 from quotewire.llm import lang_id, near_dup, toxicity
 from quotewire.llm.folds import held_out
 from quotewire.llm.queries import word_bpe
-from quotewire.session import materialize
+from quotewire.session import TEXT_BATCHES, materialize
 from test_near_dup import brute as brute_classes
 from test_packing import check as check_packing
 from test_substring import brute as brute_repeats
@@ -34,6 +34,10 @@ def test_documents_keep_their_columns(results):
         assert df.dtypes == results[0].dtypes
 
 
+def test_stages_send_texts_to_python_in_small_batches(spark, results):
+    assert {name: spark.conf.get(name) for name in TEXT_BATCHES} == TEXT_BATCHES
+
+
 def test_language_stage(results):
     docs, kept = results[:2]
     found = lang_id.predict(docs, *lang_id.train(docs, ~held_out(4, 2))).where("lang_pred <> 'und' AND score >= 0.5")

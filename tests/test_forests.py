@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from quotewire.operators import forests, summaries
+from quotewire.session import NUMBER_BATCHES
 
 FEATURES = ("a", "b", "c")
 
@@ -90,3 +91,25 @@ def test_last_of_two_columns_where_either_is_missing(spark):
     got = df.groupBy("k").agg(*summaries.ordered_last_two("a", "b", ["o"]))
     apart = df.groupBy("k").agg(*[summaries.ordered_last(c, ["o"]).alias(c) for c in ("a", "b")])
     assert rows(got) == rows(apart)
+
+
+def test_rows_of_numbers_reach_python_in_batches_bounded_by_their_number(spark, frame, monkeypatch):
+    """A limit of bytes has Spark add up the size of a batch at every row; it is back afterwards."""
+    names, write, seen = list(NUMBER_BATCHES), forests.materialize, []
+    before = [spark.conf.get(n) for n in names]
+    monkeypatch.setattr(forests, "materialize", lambda df: seen.append([spark.conf.get(n) for n in names]) or write(df))
+    forests.fit(frame, FEATURES, "y", 2, 2, 3)
+    assert seen == [list(NUMBER_BATCHES.values())] != [before]
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_counted_rows_of_either_side_are_scored_as_the_rows_are(frame):
+    edges = forests.bin_edges(frame, FEATURES)
+    split = frame.unionAll(frame).withColumn("_train", F.col("b") < 3)
+    equal = forests.counted_equal(split, FEATURES, "y", edges, "_train")
+    assert equal.agg(F.sum("n")).first()[0] == 800 and equal.agg(F.min("n")).first()[0] >= 2
+    own, train = equal.where("_train").drop("_train"), split.where("_train")
+    model = forests.fit_counted(own, edges, FEATURES, 6, 4, 3)
+    assert np.isclose(model.trees.value[:6].mean(), train.agg(F.avg("y")).first()[0], atol=0.2)
+    told = model.transform_counted(own, "p").agg(F.sum(F.col("n") * F.col("p"))).first()[0]
+    assert told == pytest.approx(model.transform(train, "p").agg(F.sum("p")).first()[0])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from quotewire.operators import causality, clusters, models
+from quotewire.operators import causality, clusters, forests, models
 
 
 # --- Granger ------------------------------------------------------------------------------
@@ -117,6 +117,20 @@ def test_granger_takes_one_shuffle_and_no_python(spark):
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
+def test_granger_puts_rows_in_order_once_and_is_compiled(spark):
+    """One sort for all windows, and an aggregation of no more columns than Spark compiles."""
+    rng = np.random.default_rng(6)
+    df = series(spark, A=(rng.normal(size=60), rng.normal(size=60)))
+    text = causality.granger(df)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("- Sort [") + text.count(") Sort [") == 1 and text.count("Window [") == 2
+    sums = causality._products(df, "sentiment_score", "price_change_1d", 5, [
+        "y_0", "one", *[f"{c}_{i}" for c in "yx" for i in range(1, 6)]])
+    grouped = sums._jdf.queryExecution().analyzed().child()
+    while grouped.getClass().getSimpleName() != "Aggregate":
+        grouped = grouped.children().apply(0)
+    assert grouped.output().size() <= int(spark.conf.get("spark.sql.codegen.maxFields"))
+
+
 # --- forests ------------------------------------------------------------------------------
 
 
@@ -174,6 +188,25 @@ def test_forests(long_series):
     assert shown == pytest.approx(r["classification_accuracy"])
 
 
+def test_forests_of_a_written_series_count_its_rows_once_and_copy_none(long_series, monkeypatch):
+    """Both forests share bins and counts; no row of the series is written again."""
+    plain = models.build_prediction_models(long_series, trees=20)
+    written, binned = [], []
+    write, edges = models.materialize, forests.bin_edges
+    monkeypatch.setattr(models, "materialize", lambda df: written.append(df.columns) or write(df))
+    monkeypatch.setattr(forests, "bin_edges", lambda *a: binned.append(a) or edges(*a))
+    marked = long_series.withColumn("_train", models.in_train())
+    own = models.build_prediction_models(marked, trees=20, side=F.col("_train"))
+    assert written == [["_train", "code", "y", "n"]] and len(binned) == 1
+    assert own.results.first() == pytest.approx(plain.results.first())
+    for forest in (own.classifier, own.regressor):
+        assert forest.score == pytest.approx(forest.predictions.agg(F.avg(forest.measure)).first()[0])
+    assert "_train" not in own.regressor.predictions.columns
+    few = marked.withColumn("volatility_5d", F.when(F.col("date") < "2024-01-08", F.col("volatility_5d")))
+    for short in (few, marked.limit(99), marked.withColumn("_train", F.lit(True))):
+        assert models.build_prediction_models(short, side=F.col("_train")) is None
+
+
 # --- clusters -----------------------------------------------------------------------------
 
 

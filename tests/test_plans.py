@@ -114,3 +114,27 @@ def test_partitions_are_merged_to_a_size_that_keeps_all_cores_busy(spark):
     from quotewire.plans.inputs import Inputs
 
     assert Inputs(spark, FOLDER).spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
+def test_research_copies_neither_parquet_columns_nor_its_series(spark, monkeypatch):
+    """Written are the series with its split and small tables; of other pairs, what is read of them."""
+    from quotewire.operators import models
+    from quotewire.plans import workflows
+    from quotewire.plans.inputs import Inputs
+    from quotewire.session import reread
+
+    written, write = [], workflows.materialize
+    keep = lambda df: written.append(df.columns) or write(df)
+    monkeypatch.setattr(workflows, "materialize", keep)
+    monkeypatch.setattr(models, "materialize", keep)
+    pairs = Inputs(spark, FOLDER).pairs("S")
+    found = workflows.research_workflow(pairs, trees=4)
+    series = found.tables["time_series"].columns
+    assert written[0] == [*series, "_train"] and "volume" in series and "price_change_5d" in series
+    assert written[1] == ["_train", "code", "y", "n"] and len(written) == 4
+    assert reread(pairs) is pairs
+    for other in (pairs.distinct(), pairs.limit(3), pairs.mapInArrow(lambda b: b, pairs.schema)):
+        again = reread(other)
+        assert again is not other and again.dtypes == other.dtypes
+    mentioned = workflows.research_workflow(pairs.distinct(), trees=4).tables["top_mentioned_stocks"]
+    assert mentioned.collect() == found.tables["top_mentioned_stocks"].collect()
